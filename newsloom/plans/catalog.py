@@ -1,8 +1,8 @@
 """All registered queries by name, with their SQL twins where SQL can express them."""
 
-from newsloom.plans import graph_queries, report_queries, source_queries
+from newsloom.plans import graph_queries, model_queries, report_queries, source_queries, stream_queries
 
-_MODULES = (source_queries, report_queries, graph_queries)
+_MODULES = (source_queries, report_queries, model_queries, stream_queries, graph_queries)
 
 
 def all_queries():
