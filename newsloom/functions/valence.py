@@ -82,25 +82,27 @@ def compound_modified(text, lexicon, modifiers=Modifiers()):
     groups = _by_value(lexicon)
     boosts = _by_value(modifiers.boosters.items())
     negations = list(modifiers.negations)
-    tokens = score_tokens(text)
-
-    def with_context(token, position):
-        before = [F.get(tokens, position - F.lit(back)) for back in range(1, len(modifiers.decay) + 1)]
-        return F.struct(token.alias("token"), F.array(*before).alias("before"))
-
-    def scored(entry):
-        value = _lookup(entry["token"], groups)
-        for back, weight in enumerate(modifiers.decay):
-            word = F.get(entry["before"], F.lit(back))
-            # A scored word never modifies another one.
-            plain = word.isNotNull() & ~word.isin(words)
-            boost = F.when(plain, _lookup(word, boosts)).otherwise(0.0) * F.lit(weight)
-            flip = F.when(plain & word.isin(negations), F.lit(modifiers.negation_factor)).otherwise(1.0)
-            value = (value + F.signum(value) * boost) * flip
-        return value
-
-    hits = F.filter(F.transform(tokens, with_context), lambda entry: entry["token"].isin(words))
-    total = F.aggregate(F.transform(hits, scored), F.lit(0.0), lambda acc, value: acc + value)
+
+    def total_of(tokens):
+        def scored(token, position):
+            def step(back, weight):
+                word = F.get(tokens, position - F.lit(back))
+                # A scored word never modifies another one.
+                plain = word.isNotNull() & ~word.isin(words)
+                boost = F.when(plain, _lookup(word, boosts)).otherwise(F.lit(0.0)) * F.lit(weight)
+                flip = F.when(plain & word.isin(negations), F.lit(modifiers.negation_factor)).otherwise(F.lit(1.0))
+                return F.struct(boost.alias("boost"), flip.alias("flip"))
+
+            steps = F.array(*[step(back, weight) for back, weight in enumerate(modifiers.decay, 1)])
+            value = F.aggregate(
+                steps, _lookup(token, groups), lambda v, s: (v + F.signum(v) * s["boost"]) * s["flip"]
+            )
+            return F.when(token.isin(words), value).otherwise(F.lit(0.0))
+
+        return F.aggregate(F.transform(tokens, scored), F.lit(0.0), lambda acc, value: acc + value)
+
+    # The one-element array binds the token list to a name: it is built once, not once per look back.
+    total = F.get(F.transform(F.array(score_tokens(text)), total_of), F.lit(0))
     return F.coalesce(normalise(total), F.lit(0.0))
 
 

@@ -100,7 +100,8 @@ def _event_windows(stream):
 
 def stream_sentiment_windows(spark, sf_dir):
     schema = read(spark, sf_dir, "events").schema
-    stream = spark.readStream.schema(schema).parquet(f"{sf_dir}/events.parquet")
+    # As a glob, since a stream takes a folder but not a single file.
+    stream = spark.readStream.schema(schema).parquet(f"{sf_dir}/events.parque[t]")
     return _appended(spark, _event_windows(stream))
 
 
