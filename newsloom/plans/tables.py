@@ -169,6 +169,9 @@ def with_graph(sql):
     return f"WITH {GRAPH_SQL}\n{sql}"
 
 
+_LOADED = {}
+
+
 def graph_input(spark, sf_dir):
     """Scored articles as the graph load takes them."""
     return articles(spark, sf_dir).select(
@@ -184,7 +187,17 @@ def graph_input(spark, sf_dir):
 
 
 def graph(spark, sf_dir):
-    return build_graph(graph_input(spark, sf_dir), order_by=["article_id"])
+    """The graph over a written copy of the narrow load rows, made once per session.
+
+    Each node and edge table reads the load rows anew; from the copy that is a few short
+    columns instead of the documents' full text and its joins.
+    """
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _LOADED:
+        path = work_dir(spark, "graph-rows")
+        graph_input(spark, sf_dir).write.mode("overwrite").parquet(path)
+        _LOADED[key] = path
+    return build_graph(spark.read.parquet(_LOADED[key]), order_by=["article_id"])
 
 
 def lexicon(spark):
