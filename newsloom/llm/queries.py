@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from newsloom.llm import bpe, fingerprint, quality, token_files, toxicity
+from newsloom.llm import bpe, decontaminate, fingerprint, quality, token_files, toxicity
 from newsloom.llm.work import shared_folder
 
 
@@ -50,8 +50,58 @@ def op5_quality_compression(spark, sf_dir):
     return _scored(docs, quality.score(docs, model), 5, 0, quality.THRESHOLD)
 
 
-QUERIES = {
-    f.__name__: f
-    for f in (op1_bpe_encode_decode, op2_quartile_fingerprint, op3_toxicity_nnpu, op4_token_files, op5_quality_compression)
-}
-SQL = {}
+def op10_fm_decontamination(spark, sf_dir):
+    """Words of benchmark windows in every document, and the items they belong to."""
+    benchmark = decontaminate.load_benchmark(_read(spark, sf_dir, "benchmark"))
+    found = decontaminate.report(_read(spark, sf_dir, "documents"), benchmark)
+    return found.select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ",").cast("binary"), 256).alias("items_sha256"),
+        (F.col("n_hit") > 0).alias("contaminated"),
+    )
+
+
+_OP10_SQL = r"""
+WITH words AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM documents
+),
+items AS (
+  SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                     '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM benchmark
+),
+windows AS (
+  SELECT DISTINCT item_id, least(10, len(w)) AS n, array_to_string(w[k:k + least(10, len(w)) - 1], ' ') AS phrase
+  FROM (SELECT *, unnest(generate_series(1, greatest(1, len(w) - 9))) AS k FROM items WHERE len(w) > 0)
+),
+spans AS (
+  SELECT doc_id, k, n, array_to_string(w[k:k + n - 1], ' ') AS phrase
+  FROM (SELECT *, unnest(generate_series(1, len(w) - n + 1)) AS k
+        FROM words, (SELECT DISTINCT n FROM windows) WHERE len(w) >= n)
+),
+hits AS (SELECT doc_id, k, n, item_id FROM spans JOIN windows USING (n, phrase)),
+hit_words AS (SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest(generate_series(k, k + n - 1)) AS p FROM hits) GROUP BY doc_id),
+hit_items AS (
+  SELECT doc_id, count(*) AS n_items, string_agg(i, ',' ORDER BY i) AS ids
+  FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS i FROM hits) GROUP BY doc_id
+)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM words LEFT JOIN hit_words USING (doc_id) LEFT JOIN hit_items USING (doc_id)
+"""
+
+_ALL = (
+    op1_bpe_encode_decode,
+    op2_quartile_fingerprint,
+    op3_toxicity_nnpu,
+    op4_token_files,
+    op5_quality_compression,
+    op10_fm_decontamination,
+)
+QUERIES = {f.__name__: f for f in _ALL}
+SQL = {"op10_fm_decontamination": _OP10_SQL}
