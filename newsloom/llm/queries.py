@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from newsloom.llm import bpe, decontaminate, fingerprint, quality, token_files, toxicity
+from newsloom.llm import bpe, decontaminate, fingerprint, jaccard, quality, token_files, toxicity
 from newsloom.llm.work import shared_folder
 
 
@@ -50,6 +50,11 @@ def op5_quality_compression(spark, sf_dir):
     return _scored(docs, quality.score(docs, model), 5, 0, quality.THRESHOLD)
 
 
+def op7_jaccard_forest(spark, sf_dir):
+    """Class of near-copies and number of links of every document."""
+    return jaccard.classes(_read(spark, sf_dir, "documents"))
+
+
 def op10_fm_decontamination(spark, sf_dir):
     """Words of benchmark windows in every document, and the items they belong to."""
     benchmark = decontaminate.load_benchmark(_read(spark, sf_dir, "benchmark"))
@@ -94,6 +99,34 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, c
        sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
 FROM words LEFT JOIN hit_words USING (doc_id) LEFT JOIN hit_items USING (doc_id)
 """
+_OP7_SQL = r"""
+WITH RECURSIVE words AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM documents
+),
+grams AS (
+  SELECT DISTINCT doc_id, array_to_string(w[k:k + 4], ' ') AS g
+  FROM (SELECT *, unnest(generate_series(1, greatest(1, len(w) - 4))) AS k FROM words WHERE len(w) > 0)
+),
+sizes AS (SELECT doc_id, count(*) AS n FROM grams GROUP BY doc_id),
+common AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c
+  FROM grams a JOIN grams b ON a.g = b.g AND a.doc_id <> b.doc_id GROUP BY ALL
+),
+links AS (
+  SELECT a, b FROM common JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b
+  WHERE c >= 0.8 * (x.n + y.n - c) - 1e-9
+),
+reach AS (
+  SELECT doc_id AS a, doc_id AS b FROM documents
+  UNION
+  SELECT r.a, l.b FROM reach r JOIN links l ON l.a = r.b
+),
+classes AS (SELECT a AS doc_id, min(b) AS class_id, count(*) AS n_class FROM reach GROUP BY a)
+SELECT doc_id, class_id, coalesce(n, 0) AS n_links, n_class
+FROM classes LEFT JOIN (SELECT a AS doc_id, count(*) AS n FROM links GROUP BY a) USING (doc_id)
+"""
 
 _ALL = (
     op1_bpe_encode_decode,
@@ -101,7 +134,8 @@ _ALL = (
     op3_toxicity_nnpu,
     op4_token_files,
     op5_quality_compression,
+    op7_jaccard_forest,
     op10_fm_decontamination,
 )
 QUERIES = {f.__name__: f for f in _ALL}
-SQL = {"op10_fm_decontamination": _OP10_SQL}
+SQL = {"op7_jaccard_forest": _OP7_SQL, "op10_fm_decontamination": _OP10_SQL}
