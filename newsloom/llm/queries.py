@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from newsloom.llm import bpe, decontaminate, fingerprint, jaccard, quality, token_files, toxicity
+from newsloom.llm import bpe, decontaminate, fingerprint, jaccard, lines, quality, token_files, toxicity
 from newsloom.llm.work import shared_folder
 
 
@@ -55,6 +55,12 @@ def op7_jaccard_forest(spark, sf_dir):
     return jaccard.classes(_read(spark, sf_dir, "documents"))
 
 
+def op8_line_dedup(spark, sf_dir):
+    """Lines kept and dropped in every document, and the sha256 of the text that stays."""
+    docs = _read(spark, sf_dir, "documents").select("doc_id", "text")
+    return lines.drop_repeated(docs).select("doc_id", "n_lines", "n_same", "n_near", F.sha2(F.col("text").cast("binary"), 256).alias("text_sha256"))
+
+
 def op10_fm_decontamination(spark, sf_dir):
     """Words of benchmark windows in every document, and the items they belong to."""
     benchmark = decontaminate.load_benchmark(_read(spark, sf_dir, "benchmark"))
@@ -135,6 +141,7 @@ _ALL = (
     op4_token_files,
     op5_quality_compression,
     op7_jaccard_forest,
+    op8_line_dedup,
     op10_fm_decontamination,
 )
 QUERIES = {f.__name__: f for f in _ALL}
