@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from newsloom.llm import bpe, decontaminate, fingerprint, jaccard, lines, quality, token_files, toxicity
+from newsloom.llm import bpe, chat, decontaminate, fingerprint, jaccard, lines, pii, quality, token_files, toxicity
 from newsloom.llm.work import shared_folder
 
 
@@ -50,6 +50,18 @@ def op5_quality_compression(spark, sf_dir):
     return _scored(docs, quality.score(docs, model), 5, 0, quality.THRESHOLD)
 
 
+def op6_disclosure_pii(spark, sf_dir):
+    """Personal data and the terms that disclose it in every document."""
+    docs = _read(spark, sf_dir, "documents").select("doc_id", "text")
+    found = pii.find(docs)
+    count = lambda kind: F.size(F.filter("spans", lambda x: x["kind"] == kind)).cast("long").alias(f"n_{kind}")
+    written = lambda spans: F.array_join(F.transform(spans, lambda x: F.concat_ws(":", x["kind"], x["start"], x["end"])), ",")
+    base = F.filter("spans", lambda x: x["kind"] != "term")
+    return found.select(
+        "doc_id", *map(count, pii.KINDS), F.sha2(written(base).cast("binary"), 256).alias("base_sha256"), written(F.col("spans")).alias("spans")
+    )
+
+
 def op7_jaccard_forest(spark, sf_dir):
     """Class of near-copies and number of links of every document."""
     return jaccard.classes(_read(spark, sf_dir, "documents"))
@@ -61,6 +73,24 @@ def op8_line_dedup(spark, sf_dir):
     return lines.drop_repeated(docs).select("doc_id", "n_lines", "n_same", "n_near", F.sha2(F.col("text").cast("binary"), 256).alias("text_sha256"))
 
 
+def op9_chat_windows(spark, sf_dir):
+    """What reading the formatted windows of every conversation gives back."""
+    turns = _read(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    markers = "</s>[INST] ok [/INST]"  # the conversation that says control strings
+    told = spark.createDataFrame([(-1, 0, "user", markers), (-1, 1, "assistant", markers)], turns.schema)
+    back = chat.read_back(chat.windows(turns.unionByName(told)))
+    said = F.array_join(F.transform("turns", lambda x: F.concat(x["role"], F.lit("\n"), x["text"], F.lit("\n"))), "")
+    loss = F.array_join("loss", "")
+    return back.select(
+        "conv_id",
+        F.size("turns").cast("long").alias("n_turns"),
+        F.sha2(said.cast("binary"), 256).alias("turns_sha256"),
+        F.length(loss).cast("long").alias("loss_chars"),
+        F.sha2(loss.cast("binary"), 256).alias("loss_sha256"),
+        "formatted_chars",
+    )
+
+
 def op10_fm_decontamination(spark, sf_dir):
     """Words of benchmark windows in every document, and the items they belong to."""
     benchmark = decontaminate.load_benchmark(_read(spark, sf_dir, "benchmark"))
@@ -140,8 +170,10 @@ _ALL = (
     op3_toxicity_nnpu,
     op4_token_files,
     op5_quality_compression,
+    op6_disclosure_pii,
     op7_jaccard_forest,
     op8_line_dedup,
+    op9_chat_windows,
     op10_fm_decontamination,
 )
 QUERIES = {f.__name__: f for f in _ALL}
