@@ -42,27 +42,17 @@ def shifts(edits):
     return out
 
 
-def _segment_keys(line, n, edits):
-    """Keys of a line's own segments."""
-    parts = edits + 1
-    return F.array(
-        *(
-            F.xxhash64(n, F.lit(i), F.substring(line, (_start(n, F.lit(i), parts) + 1).cast("int"), _size(n, F.lit(i), parts).cast("int")))
-            for i in range(parts)
-        )
-    )
-
-
-def _probe_keys(line, n, edits):
-    """Keys of the substrings of a line that another's segments may equal."""
+def _keys(line, n, edits):
+    """(key, own) of the substrings of a line that another's segments may equal; its own segments are among them."""
     parts = edits + 1
     keys = []
     for less, i, shift in shifts(edits):
         m = n - less
         start = (_start(m, F.lit(i), parts) + shift).cast("int")
         size = _size(m, F.lit(i), parts).cast("int")
+        key = F.xxhash64(m, F.lit(i), F.substring(line, start + 1, size))
         inside = (start >= 0) & (start + size <= n)
-        keys.append(F.when(inside, F.xxhash64(m, F.lit(i), F.substring(line, start + 1, size))))
+        keys.append(F.when(inside, F.struct(key.alias("key"), F.lit(less == 0 and shift == 0).alias("own"))))
     return F.array_compact(F.array(*keys))
 
 
@@ -70,11 +60,14 @@ NO_KEY = -(1 << 63)  # stands for a null key, so that such rows come first
 
 
 def _identified(docs, key, text):
-    """k and t tell a row's text; equal rows share them. lines: the text's lines, None as one empty line."""
-    full = F.coalesce(F.col(text), F.lit(""))
-    return docs.select(
-        F.coalesce(F.col(key).cast("long"), F.lit(NO_KEY)).alias("k"), F.xxhash64(full).alias("t"), full.alias("text")
-    )
+    """All columns but the key, and k and t, which tell a row's text: equal rows share them."""
+    others = [F.col(c).alias(f"c_{i}") for i, c in enumerate(docs.columns) if c not in (key, text)]
+    own = F.coalesce(F.col(key).cast("long"), F.lit(NO_KEY)).alias("k"), F.xxhash64(F.coalesce(F.col(text), F.lit(""))).alias("t")
+    return docs.select(*own, F.col(text).alias("text"), *others)
+
+
+def _lines():
+    return F.split(F.coalesce("text", F.lit("")), "\n", -1)
 
 
 def _compared_form(line):
@@ -83,7 +76,7 @@ def _compared_form(line):
 
 def _first_lines(rows):
     """h (hash), k, t and pos of the first of each set of equal lines; equality by two hashes."""
-    lines = F.transform(F.split("text", "\n", -1), lambda x, i: F.struct(_compared_form(x).alias("line"), i.alias("pos")))
+    lines = F.transform(_lines(), lambda x, i: F.struct(_compared_form(x).alias("line"), i.alias("pos")))
     return (
         rows.select("k", "t", F.explode(lines).alias("x"))
         .filter("x.line != ''")
@@ -102,14 +95,10 @@ def _near_lines(firsts, docs_lines, edits, least, block):
     """
     lines = docs_lines.select(
         F.explode(
-            bound(F.split("text", "\n", -1), lambda x: F.transform("firsts", lambda pos: _compared_form(F.get(x, pos))))
+            bound(_lines(), lambda x: F.transform("firsts", lambda pos: _compared_form(F.get(x, pos))))
         ).alias("line")
     ).select("line", F.char_length("line").alias("n"), F.xxhash64("line").alias("h"))
-    keys = F.concat(
-        F.transform(_segment_keys(F.col("line"), F.col("n"), edits), lambda x: F.struct(x.alias("key"), F.lit(True).alias("own"))),
-        F.transform(_probe_keys(F.col("line"), F.col("n"), edits), lambda x: F.struct(x.alias("key"), F.lit(False).alias("own"))),
-    )
-    entries = lines.filter(F.col("n") >= least).select("h", F.explode(keys).alias("e")).select("h", "e.key", "e.own")
+    entries = lines.filter(F.col("n") >= least).select("h", F.explode(_keys(F.col("line"), F.col("n"), edits)).alias("e")).select("h", "e.*")
     same = Window.partitionBy("key")
     met = entries.select(
         "*",
@@ -118,21 +107,24 @@ def _near_lines(firsts, docs_lines, edits, least, block):
         F.sum(F.col("own").cast("int")).over(same).alias("n_own"),
         F.count("*").over(same).alias("n_all"),
     ).filter("low < high AND n_own > 0")
-    size = F.when(F.col("own"), F.col("n_own")).otherwise(F.col("n_all") - F.col("n_own"))
-    met = met.select("h", "key", "own", F.pmod(F.xxhash64("h", F.lit(3)), F.ceil(size / block)).alias("block"))
+    # a segment stands on both sides: the index and the probes
+    sides = F.array_compact(F.array(F.struct(F.lit(False).alias("index"), F.col("n_all").alias("size")), F.when(F.col("own"), F.struct(F.lit(True).alias("index"), F.col("n_own").alias("size")))))
+    met = met.select("h", "key", F.explode(sides).alias("s")).select(
+        "h", "key", "s.index", F.pmod(F.xxhash64("h", F.lit(3)), F.ceil(F.col("s.size") / block)).alias("block")
+    )
     placed = (
         met.join(firsts, "h")
         .join(docs_lines.select("k", "t", "text"), ["k", "t"])
         .select(
             "key",
-            "own",
+            "index",
             "block",
-            F.struct(F.struct("k", "t", "pos").alias("at"), _compared_form(F.get(F.split("text", "\n", -1), F.col("pos"))).alias("line")).alias("x"),
+            F.struct(F.struct("k", "t", "pos").alias("at"), _compared_form(F.get(_lines(), F.col("pos"))).alias("line")).alias("x"),
         )
     )
-    blocks = placed.groupBy("key", "own", "block").agg(F.collect_set("x").alias("x"))
-    left = blocks.filter("own").select("key", F.col("x").alias("a"))
-    right = blocks.filter("NOT own").select("key", F.col("x").alias("b"))
+    blocks = placed.groupBy("key", "index", "block").agg(F.collect_set("x").alias("x"))
+    left = blocks.filter("index").select("key", F.col("x").alias("a"))
+    right = blocks.filter("NOT index").select("key", F.col("x").alias("b"))
     # the later line of each pair within reach
     later = F.flatten(
         F.transform(
@@ -160,27 +152,28 @@ def drop_repeated(docs, key="doc_id", text="text", edits=EDITS, least=LEAST, blo
     near = _near_lines(firsts, rows.join(of_row, ["k", "t"]), edits, least, block)
     near = near.groupBy("k", "t").agg(F.collect_set("pos").alias("near"))
     none = F.array().cast("array<int>")
-    full = F.coalesce(F.col(text), F.lit(""))
-    marked = docs.withColumns({"_k": F.coalesce(F.col(key).cast("long"), F.lit(NO_KEY)), "_t": F.xxhash64(full)})
     joined = (
-        marked.join(of_row.withColumnsRenamed({"k": "_k", "t": "_t", "firsts": "_firsts"}), ["_k", "_t"], "left")
-        .join(near.withColumnsRenamed({"k": "_k", "t": "_t", "near": "_near"}), ["_k", "_t"], "left")
-        .withColumns({"_firsts": F.coalesce("_firsts", none), "_near": F.coalesce("_near", none)})
+        rows.join(of_row, ["k", "t"], "left")
+        .join(near, ["k", "t"], "left")
+        .withColumns({"firsts": F.coalesce("firsts", none), "near": F.coalesce("near", none)})
     )
 
     def kept(lines):
         blank = F.filter(F.sequence(F.lit(0), F.size(lines) - 1), lambda i: _compared_form(F.get(lines, i)) == "")
-        stay = F.array_sort(F.concat(F.array_except("_firsts", "_near"), blank))
+        stay = F.array_sort(F.concat(F.array_except("firsts", "near"), blank))
         return F.struct(
             F.array_join(F.transform(stay, lambda i: F.get(lines, i)), "\n").alias("text"),
             (F.size(lines) - F.size(blank)).cast("long").alias("n_lines"),
             (F.size(lines) == F.size(stay)).alias("whole"),
         )
 
-    done = joined.withColumn("_kept", bound(F.split(full, "\n", -1), kept))
+    done = joined.withColumn("kept", bound(_lines(), kept))
+    new = F.when(F.col("kept.whole"), F.col("text")).otherwise(F.col("kept.text"))
+    own = F.when(F.col("k") != NO_KEY, F.col("k")).cast(dict(docs.dtypes)[key])
+    back = {key: own, text: new}
     return done.select(
-        *(F.when(F.col("_kept.whole"), F.col(c)).otherwise(F.col("_kept.text")).alias(c) if c == text else F.col(c) for c in docs.columns),
-        F.col("_kept.n_lines").alias("n_lines"),
-        (F.col("_kept.n_lines") - F.size("_firsts")).cast("long").alias("n_same"),
-        F.size("_near").cast("long").alias("n_near"),
+        *(back.get(c, F.col(f"c_{i}")).alias(c) for i, c in enumerate(docs.columns)),
+        F.col("kept.n_lines").alias("n_lines"),
+        (F.col("kept.n_lines") - F.size("firsts")).cast("long").alias("n_same"),
+        F.size("near").cast("long").alias("n_near"),
     )
