@@ -71,7 +71,7 @@ def _lines():
 
 
 def _compared_form(line):
-    return F.trim(F.regexp_replace(line, r"\s", " "))
+    return F.btrim(line, F.lit(" \t\r\f\v"))
 
 
 def _first_lines(rows):
