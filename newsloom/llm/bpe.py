@@ -20,7 +20,7 @@ from newsloom.llm import pretokens
 from newsloom.llm.texts import binary_array, chunks, mix, ragged, span_hashes
 
 VOCABULARY = "byte_bpe_50k.tiktoken"
-CACHED = 1_200_000  # merged pre-tokens that a task keeps; changes speed alone
+CACHED = 400_000  # merged pre-tokens that a task keeps; changes speed alone
 
 
 def vocabulary_path(name=VOCABULARY):

@@ -17,7 +17,7 @@ from newsloom.llm.fm_index import FMIndex
 from newsloom.llm.texts import chunks, ragged, span_hashes, word_spans
 
 WINDOW = 10
-SHARD_BYTES = 8 << 20  # text of one index; a longer document is a shard of its own
+SHARD_BYTES = 2 << 20  # text of one index; a longer document is a shard of its own
 MAX_BENCHMARK_BYTES = 64 << 20  # the benchmark is sent to every executor
 
 

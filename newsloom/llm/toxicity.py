@@ -14,8 +14,8 @@ from newsloom.llm.texts import chunks
 from newsloom.llm.vectors import SLOTS, gram_slots, row_sums, selected, sigmoid
 
 THRESHOLD = 0.3  # texts scored so or higher count as toxic
-MAX_POSITIVE = 6_000  # bounds of the training sample: rows of least key hash
-MAX_UNLABELLED = 24_000
+MAX_POSITIVE = 4_000  # bounds of the training sample: rows of least key hash
+MAX_UNLABELLED = 12_000
 FEATURES = 4_096
 LEAST_WORTH = 4.0  # standard errors by which a feature's shares in P and U must differ
 SEED_PRIOR = 0.1  # where no label tells the share of toxic texts
