@@ -37,18 +37,20 @@ def read(spark, sf_dir, name):
 def articles(spark, sf_dir):
     """Articles: one per document, with a time from its event and a place from its customer.
 
-    Title and summary are cut out below the joins, so the full text is shuffled only where a
-    query asks for ``body``. Events are keyed by document, so that documents are partitioned
-    once for both large joins.
+    The title is the whole first line, the summary the whole text. Events are keyed by
+    document, so that documents are partitioned once for both large joins. A document's place
+    is that of the customer whose key is the document's modulo the table's key range.
     """
-    docs = read(spark, sf_dir, "documents").select(
+    customers = read(spark, sf_dir, "customer")
+    key_range = customers.agg((F.max("c_custkey") + 1).alias("key_range"))
+    docs = read(spark, sf_dir, "documents").crossJoin(F.broadcast(key_range)).select(  # one row
         F.col("doc_id").alias("article_id"),
-        F.substring(F.substring_index("text", "\n", 1), 1, 80).alias("title"),
-        F.substring("text", 1, 300).alias("summary"),
+        F.substring_index("text", "\n", 1).alias("title"),
+        F.col("text").alias("summary"),
         F.col("lang").alias("section"),
         F.col("source").alias("sub_section"),
         "text",
-        (F.col("doc_id") % 150).alias("c_custkey"),
+        (F.col("doc_id") % F.col("key_range")).alias("c_custkey"),
     )
     times = (
         read(spark, sf_dir, "events")
@@ -56,12 +58,9 @@ def articles(spark, sf_dir):
         .select(F.expr("event_id div 5").alias("article_id"), "ts")
     )
     labels = read(spark, sf_dir, "labels").withColumnRenamed("doc_id", "article_id")
-    # c_custkey is the primary key and documents only point to keys below 150: at most 150
-    # rows, each with one of 25 nations and 5 regions, whatever the scale.
+    # nation and region have a fixed 25 and 5 rows
     places = (
-        read(spark, sf_dir, "customer")
-        .filter(F.col("c_custkey") < 150)
-        .join(
+        customers.join(
             F.broadcast(read(spark, sf_dir, "nation")),
             F.col("c_nationkey") == F.col("n_nationkey"),
             "left",
@@ -77,7 +76,7 @@ def articles(spark, sf_dir):
     return (
         docs.join(times, "article_id")
         .join(labels, "article_id", "left")
-        .join(F.broadcast(places), "c_custkey", "left")
+        .join(places, "c_custkey", "left")
         .select(
             "article_id",
             "title",
@@ -110,13 +109,13 @@ def articles(spark, sf_dir):
 ARTICLES_SQL = """
 articles AS (
   SELECT d.doc_id AS article_id,
-         substring(string_split(d.text, chr(10))[1], 1, 80) AS title,
+         string_split(d.text, chr(10))[1] AS title,
          'https://news.example.com/' || CAST(d.doc_id AS VARCHAR) AS link,
-         substring(d.text, 1, 300) AS summary,
+         d.text AS summary,
          strftime(date_trunc('second', e.ts) + to_months(CAST(d.doc_id % 3 AS INT)), '%Y-%m-%d %H:%M:%S')
            AS publish_time,
          d.lang AS section, d.source AS sub_section,
-         list_filter(string_split(lower(substring(string_split(d.text, chr(10))[1], 1, 80)), ' '),
+         list_filter(string_split(lower(string_split(d.text, chr(10))[1]), ' '),
                      lambda w: length(w) >= 9) AS keywords,
          CASE d.doc_id % 20 WHEN 0 THEN '' WHEN 1 THEN 'Location not found' WHEN 2 THEN NULL
               ELSE r.r_name || ' ' || c.c_mktsegment END AS location,
@@ -127,7 +126,7 @@ articles AS (
   FROM documents d
   JOIN events e ON e.event_id = d.doc_id * 5
   LEFT JOIN labels l ON l.doc_id = d.doc_id
-  LEFT JOIN customer c ON c.c_custkey = d.doc_id % 150
+  LEFT JOIN customer c ON c.c_custkey = d.doc_id % (SELECT max(c_custkey) + 1 FROM customer)
   LEFT JOIN nation n ON n.n_nationkey = c.c_nationkey
   LEFT JOIN region r ON r.r_regionkey = n.n_regionkey
 )"""
