@@ -13,6 +13,7 @@ import heapq
 import itertools
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import functions as F
 
@@ -277,7 +278,7 @@ def decode(encoded, path=None):
     path = path or vocabulary_path()
 
     @F.pandas_udf("binary")
-    def run(column: "pandas.Series") -> "pandas.Series":  # noqa: F821
+    def run(column: pd.Series) -> pd.Series:
         known = heap_encoder(path).known
         return column.map(lambda x: None if x is None else known.decode(np.frombuffer(x, "<u4"))[0].tobytes())
 

@@ -192,6 +192,6 @@ def sanitise(docs, key="doc_id", text="text", support=SUPPORT, disclosed=DISCLOS
         stop = F.coalesce(F.get(F.col("_cut"), i)["start"], F.length(text))
         return F.substring(F.col(text), (start + 1).cast("int"), (stop - start).cast("int"))
 
-    parts = F.transform(F.sequence(F.lit(0), F.size("_cut")), lambda i: F.concat(gap(i), F.coalesce(label(F.get(F.col("_cut"), i)), F.lit(""))))
+    parts = F.transform(F.sequence(F.lit(0), F.size("_cut")), lambda i: F.concat(gap(i), F.when(i < F.size("_cut"), label(F.get(F.col("_cut"), i))).otherwise("")))
     new = F.when(F.col("_cut").isNotNull(), F.array_join(parts, "")).otherwise(F.col(text))
     return joined.select(*(new.alias(c) if c == text else F.col(c) for c in docs.columns))
