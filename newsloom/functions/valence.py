@@ -1,4 +1,4 @@
-"""Lexicon sentiment as column expressions: no shuffle, no key, usable on streams.
+"""Lexicon sentiment as column expressions.
 
 The score is the published VADER normalisation s / sqrt(s^2 + 15) of the summed valences.
 """
@@ -66,44 +66,33 @@ def normalise(total):
     return F.round(total / F.sqrt(total * total + F.lit(ALPHA)), 4)
 
 
-def compound(text, lexicon):
-    """Score of ``text`` for ``lexicon``, a list of (token, valence); null or "" gives 0.0."""
-    words = [token for token, _ in lexicon]
-    groups = _by_value(lexicon)
-    # The cheap set test comes first, so that only scored words go through the value lookup.
-    hits = F.filter(score_tokens(text), lambda token: token.isin(words))
-    total = F.aggregate(hits, F.lit(0.0), lambda acc, token: acc + _lookup(token, groups))
-    return F.coalesce(normalise(total), F.lit(0.0))
+def words_with_context(text, modifiers=None):
+    """One struct per token: ``token``, and with modifiers the modifying words before it, nearest first (else null)."""
+    known = [] if modifiers is None else [*modifiers.negations, *modifiers.boosters]
+    backs = 0 if modifiers is None else len(modifiers.decay)
 
+    def all_of(tokens):
+        def one(token, position):
+            earlier = [F.get(tokens, position - F.lit(back)) for back in range(1, backs + 1)]
+            kept = [F.when(word.isin(known), word).alias(f"back{i}") for i, word in enumerate(earlier, 1)]
+            return F.struct(token.alias("token"), *kept)
 
-def compound_modified(text, lexicon, modifiers=Modifiers()):
-    """As ``compound``, with negations and boosters up to three words before a scored word."""
-    words = [token for token, _ in lexicon]
-    groups = _by_value(lexicon)
-    boosts = _by_value(modifiers.boosters.items())
-    negations = list(modifiers.negations)
-
-    def total_of(tokens):
-        def scored(token, position):
-            def step(back, weight):
-                word = F.get(tokens, position - F.lit(back))
-                # A scored word never modifies another one.
-                plain = word.isNotNull() & ~word.isin(words)
-                boost = F.when(plain, _lookup(word, boosts)).otherwise(F.lit(0.0)) * F.lit(weight)
-                flip = F.when(plain & word.isin(negations), F.lit(modifiers.negation_factor)).otherwise(F.lit(1.0))
-                return F.struct(boost.alias("boost"), flip.alias("flip"))
-
-            steps = F.array(*[step(back, weight) for back, weight in enumerate(modifiers.decay, 1)])
-            value = F.aggregate(
-                steps, _lookup(token, groups), lambda v, s: (v + F.signum(v) * s["boost"]) * s["flip"]
-            )
-            return F.when(token.isin(words), value).otherwise(F.lit(0.0))
-
-        return F.aggregate(F.transform(tokens, scored), F.lit(0.0), lambda acc, value: acc + value)
+        return F.transform(tokens, one)
 
     # The one-element array binds the token list to a name: it is built once, not once per look back.
-    total = F.get(F.transform(F.array(score_tokens(text)), total_of), F.lit(0))
-    return F.coalesce(normalise(total), F.lit(0.0))
+    return F.get(F.transform(F.array(score_tokens(text)), all_of), F.lit(0))
+
+
+def modified(valence, modifiers, scored):
+    """``valence`` under the words ``back1``, ``back2``, ...; a word in the array ``scored`` modifies nothing."""
+    boosts = _by_value(modifiers.boosters.items())
+    for back, weight in enumerate(modifiers.decay, 1):
+        word = F.col(f"back{back}")
+        plain = word.isNotNull() & ~F.array_contains(scored, word)
+        boost = F.when(plain, _lookup(word, boosts)).otherwise(F.lit(0.0)) * F.lit(weight)
+        flip = F.when(plain & word.isin(list(modifiers.negations)), F.lit(modifiers.negation_factor)).otherwise(F.lit(1.0))
+        valence = (valence + F.signum(valence) * boost) * flip
+    return valence
 
 
 def label_of(score):

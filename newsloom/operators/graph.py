@@ -15,7 +15,7 @@ KEYS = ("title", "section", "sub_section", "location", "predicted_label", "publi
 
 @dataclass(frozen=True)
 class NewsGraph:
-    news: DataFrame  # title, summary, publish_time
+    news: DataFrame  # title, summary, publish_time, _order (what decides between articles of one title)
     part_of: DataFrame  # sub_section, section
     belongs_to: DataFrame  # title, sub_section
     reported_in: DataFrame  # title, location
@@ -41,11 +41,9 @@ def build_graph(df, order_by=()):
     def edges(left, right):
         return valid.select(left, right).distinct()
 
-    latest = F.max(F.struct("publish_time_ts", *order_by, "summary")).alias("latest")
+    rows = valid.withColumn("_order", F.struct("publish_time_ts", *order_by)).withColumnRenamed("publish_time_ts", "publish_time")
     return NewsGraph(
-        news=valid.groupBy("title").agg(latest).select(
-            "title", F.col("latest.summary").alias("summary"), F.col("latest.publish_time_ts").alias("publish_time")
-        ),
+        news=_latest(rows),
         part_of=edges("sub_section", "section"),
         belongs_to=edges("title", "sub_section"),
         reported_in=edges("title", "location"),
@@ -55,13 +53,17 @@ def build_graph(df, order_by=()):
     )
 
 
+def _latest(rows):
+    """One node per title: the last by time, then the order columns, then summary."""
+    latest = F.max(F.struct("_order", "summary", "publish_time")).alias("latest")
+    return rows.groupBy("title").agg(latest).select("title", "latest.summary", "latest.publish_time", "latest._order")
+
+
 def merge_graphs(old, new):
-    """Upsert ``new`` into ``old``: sets are united, a title's later node wins."""
-    latest = F.max(F.struct("publish_time", "summary")).alias("latest")
-    news = old.news.unionByName(new.news).groupBy("title").agg(latest)
+    """Upsert ``new`` into ``old``: sets are united, a title's later node wins by the rule of ``build_graph``."""
     sets = ("part_of", "belongs_to", "reported_in", "has_category", "published_on")
     return NewsGraph(
-        news=news.select("title", "latest.summary", "latest.publish_time"),
+        news=_latest(old.news.unionByName(new.news)),
         rejects=old.rejects.unionByName(new.rejects),
         **{name: getattr(old, name).unionByName(getattr(new, name)).distinct() for name in sets},
     )

@@ -2,58 +2,38 @@
 
 from pyspark.sql import functions as F
 
-from newsloom.functions.valence import (
-    Modifiers,
-    compound,
-    compound_modified,
-    label_of,
-    normalise,
-    score_tokens,
-)
+from newsloom.functions.valence import label_of, modified, normalise, words_with_context
 
-# Largest lexicon that goes into the plan as literals (the usual ones hold about 7,500 words).
-MAX_INLINE_WORDS = 20_000
 
+def score_sentiment(df, text_col, lexicon, key="link", modifiers=None):
+    """Add ``sentiment_score``, by one join of the tokens with a lexicon of any size.
 
-def small_lexicon(lexicon, limit=MAX_INLINE_WORDS):
-    """The lexicon as a list, or None if it has more than ``limit`` words."""
-    rows = lexicon.select("token", "valence").limit(limit + 1).collect()
-    return None if len(rows) > limit else [(row.token, row.valence) for row in rows]
-
-
-def score_sentiment(df, text_col, lexicon, key="link", modifiers=None, max_inline=MAX_INLINE_WORDS):
-    """Add ``sentiment_score``.
-
-    A lexicon of checked size is scored inside the row, so articles are never shuffled. A
-    larger one is joined (``key`` must then be unique); modifiers need the small one.
-    """
-    words = small_lexicon(lexicon, max_inline)
-    if words is None:
-        if modifiers is not None:
-            raise ValueError(f"modifiers need a lexicon of at most {max_inline} words")
-        return score_by_join(df, text_col, lexicon, key)
-    text = F.col(text_col)
-    if isinstance(modifiers, Modifiers):
-        score = compound_modified(text, words, modifiers)
-    else:
-        score = compound(text, words)
-    return df.withColumn("sentiment_score", score)
-
-
-def score_by_join(df, text_col, lexicon, key):
-    """The same score by a join on tokens, for lexicons of any size.
-
-    Tokens carry only the key. A hot token skews the token side alone, which adaptive
-    execution splits; Spark broadcasts the lexicon itself where its size allows.
+    Tokens carry only the key and a digest of the text, so rows that share a key are scored each
+    by its own text. The sum is reduced before its shuffle; Spark broadcasts the lexicon where its
+    size allows, and a hot token skews the token side alone, which adaptive execution splits.
+    A lexicon token listed several times counts with its mean valence; null tokens or valences are
+    not scored. A null or empty text gives 0.0.
     """
-    tokens = df.select(key, F.explode(score_tokens(F.col(text_col))).alias("token"))
-    totals = (
-        tokens.join(lexicon.select("token", "valence"), "token")
-        .groupBy(key)
-        .agg(F.sum("valence").alias("_total"))
-    )
+    words = lexicon.filter(F.col("token").isNotNull() & F.col("valence").isNotNull() & (F.col("token") != ""))
+    words = words.groupBy("token").agg(F.avg("valence").alias("valence"))
+    # "" is no token: one per row, it counts the copies of a row.
+    mark = lexicon.sparkSession.range(1).select(F.lit("").alias("token"), F.lit(0.0).alias("valence"))
+    known = words.unionByName(mark)
+
+    df = df.withColumn("_digest", F.xxhash64(text_col))
+    found = words_with_context(F.col(text_col), modifiers)
+    blank = F.struct(F.lit("").alias("token"), *([F.lit(None).cast("string").alias(f"back{i + 1}") for i in range(len(modifiers.decay))] if modifiers else []))
+    tokens = df.select(F.col(key).alias("_key"), F.col("_digest").alias("_of"), F.inline(F.concat(F.array(blank), found)))
+    value = F.col("valence")
+    if modifiers:
+        # At most as many rows as there are modifying words.
+        both = words.filter(F.col("token").isin([*modifiers.negations, *modifiers.boosters]))
+        value = modified(value, modifiers, both.agg(F.collect_set("token")).scalar())
+    copies = F.sum(F.when(F.col("token") == "", 1))
+    totals = tokens.join(known, "token").groupBy("_key", "_of").agg((F.sum(value) / copies).alias("_total"))
+    same = F.col(key).eqNullSafe(F.col("_key")) & F.col("_digest").eqNullSafe(F.col("_of"))
     score = F.coalesce(normalise(F.col("_total")), F.lit(0.0))
-    return df.join(totals, key, "left").withColumn("sentiment_score", score).drop("_total")
+    return df.join(totals, same, "left").withColumn("sentiment_score", score).drop("_key", "_of", "_digest", "_total")
 
 
 def add_sentiment_label(df, text_col, lexicon, **options):

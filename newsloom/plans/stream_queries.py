@@ -2,11 +2,9 @@
 
 from pyspark.sql import functions as F
 
-from newsloom.functions.words import parse_time
 from newsloom.operators.clean import clean_text
 from newsloom.plans.model_queries import load_fitted
 from newsloom.plans.tables import SCORED_SCHEMA, articles, land_topic, read, with_articles
-from newsloom.schemas import TIME_FORMAT
 from newsloom.session import work_dir
 from newsloom.sources.articles import parse_messages, read_topic_stream
 from newsloom.sources.sinks import land_json
@@ -117,15 +115,15 @@ def stream_late_data(spark, sf_dir):
 
 
 def stream_dedup(spark, sf_dir):
-    """Every message sent twice; each link comes out once."""
+    """Every message sent twice in one run and once more in a later one; each link comes out once."""
     path = work_dir(spark, "twice")
     rows = articles(spark, sf_dir).select("link", "title", "publish_time")
-    land_json(rows.withColumn("copy", F.explode(F.array(F.lit(1), F.lit(2)))).drop("copy"), path)
-    messages = read_topic_stream(spark, "text", path=path)
-    stream = parse_messages(messages, rows.schema).withColumn(
-        "time", parse_time(F.col("publish_time"), TIME_FORMAT)
-    )
-    return _appended(spark, ops.dedup_stream(stream, time="time").drop("time"))
+    for run, copies in enumerate(([1, 2], [1])):
+        land_json(rows.withColumn("copy", F.explode(F.array(*map(F.lit, copies)))).drop("copy"), f"{path}/in/{run}")
+        messages = read_topic_stream(spark, "text", path=f"{path}/in/*")
+        stream = parse_messages(messages, rows.schema, keep=["arrival"])
+        result = _appended(spark, ops.dedup_stream(stream).drop("arrival"), path)
+    return result
 
 
 def stream_score(spark, sf_dir):

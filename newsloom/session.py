@@ -1,12 +1,9 @@
 """Session settings and the shared work folder."""
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
 
-_LOCAL_BASES: dict[str, str] = {}
-
 
 def build_session(app_name="newsloom", master=None, shuffle_partitions=None, **conf):
     """A session with the settings the operators count on.
@@ -33,13 +30,12 @@ def build_session(app_name="newsloom", master=None, shuffle_partitions=None, **c
 def work_dir(spark, name):
     """A fresh folder for ``name`` below the shared checkpoint folder.
 
-    The cluster names that folder in ``spark.checkpoint.dir``. Without the setting only a
-    local master may fall back to a temporary folder: executors could not see it elsewhere.
+    The cluster names that folder in ``spark.checkpoint.dir``. Without the setting a local
+    master uses its warehouse folder.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
-        app = spark.sparkContext.applicationId
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-        base = _LOCAL_BASES.setdefault(app, tempfile.mkdtemp(prefix="newsloom-"))
+        base = spark.conf.get("spark.sql.warehouse.dir")
     return f"{base.rstrip('/')}/newsloom/{name}-{uuid.uuid4().hex}"

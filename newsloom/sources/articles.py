@@ -34,21 +34,21 @@ def read_topic(spark, fmt="kafka", **options):
 
 
 def read_topic_stream(spark, fmt="kafka", **options):
-    """The same messages as a stream."""
+    """The same messages as a stream, with ``arrival``: the broker's time, or that of a file of messages."""
+    reader = spark.readStream.format(fmt)
+    arrival = F.col("timestamp")
     if fmt == "kafka":
         options = _kafka_options(options)
     elif fmt == "text":
-        return (
-            spark.readStream.schema("value string").format(fmt).options(**options).load()
-            .select(F.col("value").alias("json_data"))
-        )
-    reader = spark.readStream.format(fmt).options(**options)
-    return reader.load().select(F.col("value").cast("string").alias("json_data"))
+        reader = reader.schema("value string")
+        arrival = F.col("_metadata.file_modification_time")
+    messages = reader.options(**options).load()
+    return messages.select(F.col("value").cast("string").alias("json_data"), arrival.alias("arrival"))
 
 
-def parse_messages(df, schema=ARTICLE_SCHEMA):
-    """Article columns from ``json_data``; a malformed message becomes an all-null row."""
-    return df.select(F.from_json("json_data", schema).alias("data")).select("data.*")
+def parse_messages(df, schema=ARTICLE_SCHEMA, keep=()):
+    """Article columns from ``json_data``, and the message columns ``keep``; a malformed message becomes an all-null row."""
+    return df.select(F.from_json("json_data", schema).alias("data"), *keep).select("data.*", *keep)
 
 
 def split_malformed(df, schema=ARTICLE_SCHEMA):

@@ -54,8 +54,12 @@ def window_counts(
     )
 
 
-def dedup_stream(df, key="link", time="publish_time", delay="1 hour"):
-    """Drop repeats of ``key`` that arrive within ``delay``; older state is released."""
+def dedup_stream(df, key="link", time="arrival", delay="1 hour"):
+    """Drop repeats of ``key`` that arrive within ``delay``; older state is released.
+
+    ``time`` is when a message arrived, which rises with the batches. Publish times do not: a
+    watermark on them would drop first copies of articles that were published earlier.
+    """
     return df.withWatermark(time, delay).dropDuplicatesWithinWatermark([key])
 
 

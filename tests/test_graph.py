@@ -101,6 +101,14 @@ def test_merge_save_and_load(spark, tmp_path):
     assert [r.title for r in found.collect()] == ["T"]
 
 
+def test_merge_breaks_ties_as_the_build_does(spark):
+    rows = [(*article(summary="zzz"), 1), (*article(summary="aaa"), 2)]
+    df = spark.createDataFrame(rows, SCHEMA + ", article_id int")
+    parts = [build_graph(df.filter(F.col("article_id") == i), order_by=["article_id"]) for i in (1, 2)]
+    assert build_graph(df, order_by=["article_id"]).news.first().summary == "aaa"
+    assert merge_graphs(*parts).news.first().summary == merge_graphs(*parts[::-1]).news.first().summary == "aaa"
+
+
 def test_edges_are_sets(spark):
     graph = graph_of(spark, [article(), article(), article()])
     for name in ("part_of", "belongs_to", "reported_in", "has_category", "published_on"):

@@ -46,6 +46,15 @@ def test_row_dedup_and_inclusive_dates(spark, tmp_path):
     assert sorted(r.title for r in spark.table("kept").collect()) == ["a", "b"]
 
 
+def test_dedup_keeps_first_copies_in_any_publish_order(spark, tmp_path):
+    for link, day in (("a", 20), ("b", 25), ("c", 2), ("a", 20), ("d", 1)):
+        messages(tmp_path / "in", json.dumps({"link": link, "publish_time": f"2025-03-{day:02} 00:00:00"}))
+    stream = read_topic_stream(spark, "text", path=str(tmp_path / "in"), maxFilesPerTrigger=1)
+    kept = ops.dedup_stream(parse_messages(stream, keep=["arrival"])).select("link")
+    run_bounded(write_memory(kept, "first_copies", available_now=True), 120)
+    assert sorted(r.link for r in spark.table("first_copies").collect()) == ["a", "b", "c", "d"]
+
+
 def test_files_and_single_records(spark, tmp_path):
     (tmp_path / "a.json").write_text(json.dumps([{"title": "x", "keywords": ["k"]}, {"title": "y"}], indent=4))
     assert load_articles(spark, str(tmp_path / "a.json")).count() == 2

@@ -6,7 +6,7 @@ from newsloom.functions.markup import html_text, location_of
 from newsloom.functions.valence import Modifiers
 from newsloom.functions.words import ENGLISH_STOP_WORDS, STOP_WORDS, letters_only, lower_trim, parse_time, title_words
 from newsloom.operators.features import encode_label, tokenize
-from newsloom.operators.sentiment import add_sentiment_label, score_by_join, score_sentiment
+from newsloom.operators.sentiment import add_sentiment_label, score_sentiment
 from newsloom.schemas import TIME_FORMAT
 from newsloom.sources.listing import NO_SUMMARY, extract_listing, listing_rejects
 
@@ -89,12 +89,22 @@ def test_scores_and_labels(texts, small):
     assert rows[4].sentiment_score == 0.0
 
 
-def test_large_lexicon_takes_the_join_and_agrees(texts, small):
-    inline = score_sentiment(texts, "text", small).collect()
-    joined = score_sentiment(texts, "text", small, max_inline=1).collect()
-    assert sorted(tuple(map(str, r)) for r in inline) == sorted(
-        tuple(map(str, r)) for r in joined)
-    assert score_by_join(texts, "text", small, "link").count() == 5
+def test_lexicon_of_any_size(spark, small):
+    rows = [(1, "good"), (1, "bad"), (1, "bad"), (None, "good"), (2, "not good")]
+    df = spark.createDataFrame(rows, "link int, text string")
+    made = spark.range(50000).select(F.concat(F.lit("word"), "id").alias("token"), F.lit(1.0).alias("valence"))
+    extra = spark.createDataFrame([("good", 0.9), ("good", None), (None, 1.0), ("", 5.0)], "token string, valence double")
+    lexicon = small.union(made).union(extra)
+    plain = {(r.link, r.text): r.sentiment_score for r in score_sentiment(df, "text", lexicon).collect()}
+
+    def norm(s):
+        return pytest.approx(round(s / (s * s + 15) ** 0.5, 4))
+
+    # "good" is listed with 1.9 and 0.9: its mean counts. Rows of one key keep their own texts.
+    assert plain == {(1, "good"): norm(1.4), (1, "bad"): norm(-2.5), (None, "good"): norm(1.4), (2, "not good"): norm(1.4)}
+    found = score_sentiment(df, "text", lexicon, modifiers=Modifiers())
+    assert found.count() == 5
+    assert found.filter("link = 2").first().sentiment_score == norm(1.4 * -0.74)
 
 
 def test_modifiers(spark, small):
