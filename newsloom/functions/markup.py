@@ -1,32 +1,24 @@
 """HTML to text, and the place name that opens an article body."""
 
+import json
+from html.entities import html5
+
 from pyspark.sql import functions as F
 
 NO_LOCATION = "Location not found"
 
 # Whatever stands between two text nodes: tags, comments, unseen script/style text. Each becomes
 # one mark and runs of marks one newline; repeating the group itself would recurse per tag in Java.
-TAG = r"(?is)<script\b[^>]*>.*?</script\s*>|<style\b[^>]*>.*?</style\s*>|<!--.*?-->|<[!/?a-z][^>]*>"
+# A quoted attribute value may hold ">"; a quote that is never closed is an ordinary character.
+_TAG_REST = r"""(?:[^>"'=]++|=\s*+"[^"]*+"|=\s*+'[^']*+'|["'=])*+>"""
+TAG = (
+    rf"(?is)<script\b{_TAG_REST}.*?</script\s*>|<style\b{_TAG_REST}.*?</style\s*>|<!--.*?-->"
+    rf"|<[!/?a-z]{_TAG_REST}"
+)
 TAG_MARK = "\x01"
 
-# Named entities that occur in news pages. "&amp;" is decoded last.
-ENTITIES = (
-    ("&lt;", "<"),
-    ("&gt;", ">"),
-    ("&quot;", '"'),
-    ("&apos;", "'"),
-    ("&nbsp;", " "),
-    ("&middot;", "·"),
-    ("&copy;", "©"),
-    ("&reg;", "®"),
-    ("&hellip;", "…"),
-    ("&ndash;", "–"),
-    ("&mdash;", "—"),
-    ("&lsquo;", "‘"),
-    ("&rsquo;", "’"),
-    ("&ldquo;", "“"),
-    ("&rdquo;", "”"),
-)
+# Every named reference of HTML5 that ends in a semicolon, by name. "&amp;" is decoded last.
+ENTITIES = {name: text for name, text in html5.items() if name.endswith(";") and name not in ("amp;", "AMP;")}
 
 # Python's str.strip() and \s also cover the non-breaking space, hence (?U).
 _EDGE_SPACE = r"(?U)^\s+|\s+\z"
@@ -38,25 +30,33 @@ def strip_space(text):
 
 
 def decode_entities(text):
-    """Named and numeric character references, each decoded once."""
+    """Named and numeric character references, each decoded once. Unknown names stay as they are."""
+    # The one-element array binds the text to a name: it is built once, however often it is used.
+    return F.get(F.transform(F.array(text), _decoded), F.lit(0))
+
+
+def _decoded(text):
     # "&#38;" is an ampersand too: keep it for the last step, or "&#38;lt;" would decode twice.
-    text = F.regexp_replace(text, r"&#(?:0*38|[xX]0*26);", "&amp;")
-    refs = F.array_distinct(F.regexp_extract_all(text, F.lit(r"&#([0-9]{1,7}|[xX][0-9a-fA-F]{1,6});"), 1))
+    text = F.regexp_replace(text, r"&#(?:0*38|[xX]0*26);|&AMP;", "&amp;")
+    pattern = r"&(#(?:[0-9]{1,7}|[xX][0-9a-fA-F]{1,6});|[a-zA-Z][a-zA-Z0-9]*;)"
+    refs = F.filter(F.array_distinct(F.regexp_extract_all(text, F.lit(pattern), 1)), lambda ref: ref != "amp;")
+    names = F.from_json(F.lit(json.dumps(ENTITIES)), "map<string,string>")
 
     def code_point(ref):
-        is_hex = F.lower(ref).startswith("x")
-        digits = F.when(is_hex, F.substring(ref, 2, 6)).otherwise(
-            F.conv(F.when(is_hex, F.lit("0")).otherwise(ref), 10, 16)
+        number = F.regexp_replace(ref, "[#;]", "")
+        is_hex = F.lower(number).startswith("x")
+        digits = F.when(is_hex, F.substring(number, 2, 6)).otherwise(
+            F.conv(F.when(is_hex, F.lit("0")).otherwise(number), 10, 16)
         )
         # A code point of up to 16 bits reads as UTF-16, a longer one as a surrogate pair via UTF-32.
         return F.decode(F.unhex(F.lpad(digits, 8, "0")), "UTF-32")
 
-    text = F.aggregate(
-        refs, text, lambda acc, ref: F.replace(acc, F.concat(F.lit("&#"), ref, F.lit(";")), code_point(ref))
-    )
-    for name, char in ENTITIES:
-        text = F.replace(text, F.lit(name), F.lit(char))
-    return F.replace(text, F.lit("&amp;"), F.lit("&"))
+    def decode_one(acc, ref):
+        whole = F.concat(F.lit("&"), ref)
+        meant = F.when(ref.startswith("#"), code_point(ref)).otherwise(F.element_at(names, ref))
+        return F.replace(acc, whole, F.coalesce(meant, whole))
+
+    return F.replace(F.aggregate(refs, text, decode_one), F.lit("&amp;"), F.lit("&"))
 
 
 def html_text(html):

@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from newsloom.functions.markup import ENTITIES, location_of, page_title
+from newsloom.functions.markup import location_of, page_title
 from newsloom.plans.tables import (
     ARTICLE_FIELDS,
     SCORED_SCHEMA,
@@ -14,7 +14,7 @@ from newsloom.plans.tables import (
 )
 from newsloom.session import work_dir
 from newsloom.sources.articles import load_articles, parse_messages, read_topic
-from newsloom.sources.listing import extract_listing, last_days, listing_urls, page_texts
+from newsloom.sources.listing import extract_listing, last_days, listing_rejects, listing_urls, page_texts
 from newsloom.sources.sinks import append_results, land_json, read_results
 
 _PLAIN = ["title", "link", "summary", "publish_time", "section", "sub_section", "location", "body"]
@@ -55,6 +55,13 @@ def listing_extract(spark, sf_dir):
     return found.select(*_PLAIN, F.concat_ws("|", "keywords").alias("keywords"))
 
 
+def listing_rejects_query(spark, sf_dir):
+    """Listing pages of which every third has its script cut in half."""
+    broken = F.when(F.col("page_id") % 3 == 0, F.replace("html", F.lit("]};</script>"), F.lit("</script>")))
+    pages = listing_pages(spark, sf_dir).withColumn("html", F.coalesce(broken, "html"))
+    return listing_rejects(pages).select("page_id")
+
+
 def daily_listing_urls(spark, sf_dir):
     """Listing URLs of the days the events cover, newest first."""
     span = read(spark, sf_dir, "events").agg(
@@ -77,8 +84,12 @@ def extract_location(spark, sf_dir):
     return df.select("article_id", location_of(F.col("body")).alias("extracted"))
 
 
+# The named references that the tables hold.
+_PAGE_ENTITIES = (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&middot;", "·"), ("&copy;", "©"))
+
+
 def _decode_sql(text):
-    for name, char in ENTITIES:
+    for name, char in _PAGE_ENTITIES:
         literal = char.replace("'", "''")
         text = f"replace({text}, '{name}', '{literal}')"
     return f"replace({text}, '&amp;', '&')"
@@ -127,6 +138,13 @@ QUERIES = {
         with_articles(f"SELECT {_PLAIN_SQL}, CAST(len(keywords) AS INT) AS keyword_count FROM articles"),
     ),
     "listing_extract": (listing_extract, _LISTED_SQL),
+    "listing_rejects": (
+        listing_rejects_query,
+        with_articles(
+            """SELECT CAST(article_id // 10 AS BIGINT) AS page_id FROM articles
+GROUP BY article_id // 10 HAVING article_id // 10 % 3 = 0"""
+        ),
+    ),
     "page_text": (page_text, f"SELECT page_id, {_PAGE_TEXT_SQL} AS text FROM pages"),
     "page_title": (
         page_titles,

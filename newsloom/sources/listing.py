@@ -7,8 +7,11 @@ from newsloom.schemas import CUSTOM_FIELDS_SCHEMA, LISTING_SCHEMA
 
 NO_SUMMARY = "Summary not available."
 NOT_GIVEN = "N/A"
-# The lazy match stops at the first "};", as the site's own pages need no more.
-LISTING_PATTERN = r"var listing = (\{.*?\});"
+# The lazy match stops at the first "};", as the site's own pages need no more. (?d): only "\n" ends a
+# line, or a page with another line separator in a title would not match.
+LISTING_MARK = "var listing = "
+LISTING_PATTERN = r"(?d)var listing = (\{.*?\});"
+_ITEM_SCHEMA = LISTING_SCHEMA["data"].dataType.elementType
 
 
 def listing_urls(days, template="https://news.example.com/nation?sdate={0}&edate={0}"):
@@ -25,30 +28,38 @@ def last_days(df, end, count):
 
 
 def _parsed(pages):
-    """Pages that carry a listing script, with the script's JSON text and its parsed form."""
+    """Pages that carry a listing script, with the script's JSON text and its items as JSON texts."""
     script = F.regexp_extract("html", LISTING_PATTERN, 1)
     return (
-        pages.withColumn("listing_json", script)
-        .filter(F.col("listing_json") != "")
-        .withColumn("listing", F.from_json("listing_json", LISTING_SCHEMA))
+        pages.filter(F.contains("html", F.lit(LISTING_MARK)))
+        .withColumn("listing_json", script)
+        .withColumn("listing", F.from_json("listing_json", "data array<string>"))
     )
 
 
 def extract_listing(pages, base_url="https://news.example.com/"):
-    """Article rows of ``pages`` (column ``html``). Pages without a script give none."""
+    """Article rows of ``pages`` (column ``html``). Pages without a script give none.
+
+    A section, sub-section or keyword list that an item lacks takes its default; a null that it holds stays null.
+    """
     article = F.col("article")
+
+    def given(name, default):
+        return F.when(F.array_contains("names", name), article[name]).otherwise(default)
+
     custom = F.from_json(article["article_custom_fields"], CUSTOM_FIELDS_SCHEMA)
     return (
         _parsed(pages)
-        .select(F.explode("listing.data").alias("article"))
+        .select(F.explode("listing.data").alias("item"))
+        .select(F.from_json("item", _ITEM_SCHEMA).alias("article"), F.json_object_keys("item").alias("names"))
         .select(
             article["article_title"].alias("title"),
             F.concat(F.lit(base_url), article["permalink"]).alias("link"),
             F.coalesce(F.get(custom["summary"], F.lit(0)), F.lit(NO_SUMMARY)).alias("summary"),
             article["publish_time"].alias("publish_time"),
-            F.coalesce(article["section_name"], F.lit(NOT_GIVEN)).alias("section"),
-            F.coalesce(article["sub_section_name"], F.lit(NOT_GIVEN)).alias("sub_section"),
-            F.coalesce(article["keyword_tagging"], F.array().cast("array<string>")).alias("keywords"),
+            given("section_name", F.lit(NOT_GIVEN)).alias("section"),
+            given("sub_section_name", F.lit(NOT_GIVEN)).alias("sub_section"),
+            given("keyword_tagging", F.array().cast("array<string>")).alias("keywords"),
             html_text(article["article_body"]).alias("body"),
         )
         .withColumn("location", location_of(F.col("body")))
@@ -56,7 +67,7 @@ def extract_listing(pages, base_url="https://news.example.com/"):
 
 
 def listing_rejects(pages):
-    """Pages whose listing script does not parse."""
+    """Pages whose listing script is not found whole or does not parse."""
     return _parsed(pages).filter(F.col("listing.data").isNull()).drop("listing")
 
 

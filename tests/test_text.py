@@ -39,8 +39,11 @@ def test_html_text(spark):
         "&amp;lt; &#38;lt; &lt;b&gt; &#233;&#x1F600; 1 < 2",
         " <br>x\n",
         "<i></i>" * 20000 + "end",
+        "<a title=\"a>b\" id='>'>x</a><b c=\">y</b>",
+        "caf&eacute; &euro;5 &nope; &AMP;lt; &NotEqualTilde;",
     ]
-    assert column(spark, pages, html_text) == ["a\nb \nc", "a\nb", "&lt; &lt; <b> é😀 1 < 2", "x", "end"]
+    assert column(spark, pages, html_text) == ["a\nb \nc", "a\nb", "&lt; &lt; <b> é😀 1 < 2", "x", "end", "x\ny",
+        "café €5 &nope; &lt; ≂̸"]
 
 
 def test_location(spark):
@@ -55,15 +58,18 @@ def test_listing_pages(spark):
     )
     first = item % ("A", 1, r"{\"summary\":[\"short\"]}", ',"section_name":"News","keyword_tagging":["k"]')
     second = item % ("B", 2, "{}", "")
-    page = '<script>var listing = {"data":[%s,%s]};</script>' % (first, second)
+    third = item % ("C\u2028\u0085", 3, "{}", ',"section_name":null,"keyword_tagging":null')
+    page = '<script>var listing = {"data":[%s,%s,%s]};</script>' % (first, second, third)
     broken = "<script>var listing = {nope};</script>"
-    pages = spark.createDataFrame([(page,), ("<p>no script</p>",), (broken,)], "html string")
+    pages = spark.createDataFrame([(page,), ("<p>no script</p>",), (broken,), ("<script>var listing = {cut",)], "html string")
     rows = {row.title: row for row in extract_listing(pages).collect()}
-    assert set(rows) == {"A", "B"}
+    assert set(rows) == {"A", "B", "C\u2028\u0085"}
+    third = rows["C\u2028\u0085"]
+    assert (third.section, third.sub_section, third.keywords) == (None, "N/A", None)
     assert (rows["A"].summary, rows["A"].section, rows["A"].keywords) == ("short", "News", ["k"])
     assert (rows["B"].summary, rows["B"].section, rows["B"].keywords) == (NO_SUMMARY, "N/A", [])
     assert rows["A"].location == "IPOH" and rows["A"].body == "IPOH: Rain\nfell"
-    assert listing_rejects(pages).count() == 1
+    assert listing_rejects(pages).count() == 2
 
 
 def test_tokenizer_edges(spark):
