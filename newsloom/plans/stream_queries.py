@@ -3,7 +3,8 @@
 from pyspark.sql import functions as F
 
 from newsloom.operators.clean import clean_text
-from newsloom.plans.model_queries import load_fitted
+from newsloom.operators.models import batch_score
+from newsloom.plans.model_queries import fit_and_save, load_fitted
 from newsloom.plans.tables import SCORED_SCHEMA, articles, land_topic, read, with_articles
 from newsloom.session import work_dir
 from newsloom.sources.articles import parse_messages, read_topic_stream
@@ -127,10 +128,14 @@ def stream_dedup(spark, sf_dir):
 
 
 def stream_score(spark, sf_dir):
-    feature_model, model = load_fitted(spark, sf_dir)
+    """Every article of the scored stream, and whether batch scoring gives the same label."""
+    feature_model, model = load_fitted(spark, fit_and_save(spark, sf_dir))
     cleaned = clean_text(_stream(spark, sf_dir).select("article_id", "summary"))
     scored = ops.score_stream(cleaned, feature_model, model)
-    return _appended(spark, scored.select("article_id", "predicted_label"))
+    streamed = _appended(spark, scored.select("article_id", F.col("predicted_label").alias("streamed")))
+    batch = batch_score(clean_text(articles(spark, sf_dir).select("article_id", "summary")), feature_model, model)
+    same = F.col("predicted_label").eqNullSafe(F.col("streamed")).alias("same_as_batch")
+    return streamed.join(batch.select("article_id", "predicted_label"), "article_id", "left").select("article_id", same)
 
 
 _STARTS = (
@@ -197,5 +202,5 @@ WHERE s + INTERVAL 10 MINUTE <= {_WATERMARK.format('')}
 GROUP BY ALL""",
     ),
     "stream_dedup": (stream_dedup, with_articles("SELECT link, title, publish_time FROM articles")),
-    "stream_score": (stream_score, None),
+    "stream_score": (stream_score, with_articles("SELECT article_id, true AS same_as_batch FROM articles")),
 }
