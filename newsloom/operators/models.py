@@ -23,12 +23,19 @@ class SentimentTrainer:
 
     Split and folds come from the key's hash rather than from random numbers per partition:
     a recomputed partition lands in the same split and fold after an executor is lost.
+    ``max_train_rows`` bounds the labelled rows that are trained on (those of least key digest);
+    None takes all. Held-out rows are never bounded.
     """
 
-    def __init__(self, df, x="features", y="indexedLabel", key="link", train_share=0.8, folds=3, parallelism=2):
+    def __init__(
+        self, df, x="features", y="indexedLabel", key="link", train_share=0.8, folds=3, parallelism=2, max_train_rows=None
+    ):
         self.x, self.y, self.folds, self.parallelism = x, y, folds, parallelism
         train, test = train_test_split(df, key, train_share)
         fold = F.pmod(F.floor(split_bucket(F.col(key), 100 * folds) / 100), F.lit(folds)).cast("int")
+        train = train.dropna(subset=[x, y])
+        if max_train_rows is not None:
+            train = train.orderBy(F.sha2(F.col(key).cast("string"), 256), key).limit(max_train_rows)
         self.train = train.select(x, y, fold.alias("_fold")).dropna().persist()
         self.test = drop_nulls(test, x, y)
 

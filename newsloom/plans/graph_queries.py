@@ -4,7 +4,8 @@ from pyspark.sql import functions as F
 
 from newsloom.functions.words import SHORT_STOP_WORDS, STOP_WORDS
 from newsloom.operators import graph_reports as reports
-from newsloom.plans.tables import graph, with_graph
+from newsloom.operators.graph import build_graph, merge_graphs
+from newsloom.plans.tables import graph, load_rows, with_graph
 
 
 def _part(name, *columns):
@@ -78,6 +79,7 @@ _SIDE = f"""(SELECT title, date, category, location, sub_section FROM {_listed_s
 
 _SQL = {
     "graph_news_nodes": "SELECT title, summary, publish_time FROM news",
+    "graph_merge": "SELECT title, summary, publish_time FROM news",
     "graph_part_of": "SELECT sub_section, section FROM part_of",
     "graph_belongs_to": "SELECT title, sub_section FROM belongs_to",
     "graph_reported_in": "SELECT title, location FROM reported_in",
@@ -153,12 +155,21 @@ def graph_news_nodes(spark, sf_dir):
     return graph(spark, sf_dir).news.select("title", "summary", time)
 
 
+def graph_merge(spark, sf_dir):
+    """News nodes after loading the odd articles into a graph of the even ones."""
+    rows = load_rows(spark, sf_dir)
+    even, odd = (build_graph(rows.filter(F.col("article_id") % 2 == rest), order_by=["article_id"]) for rest in (0, 1))
+    time = F.col("publish_time").cast("timestamp_ntz").alias("publish_time")
+    return merge_graphs(even, odd).news.select("title", "summary", time)
+
+
 def related_edges(spark, sf_dir):
     return reports.related_edges(graph(spark, sf_dir))
 
 
 _RUN = {
     "graph_news_nodes": graph_news_nodes,
+    "graph_merge": graph_merge,
     "graph_part_of": _part("part_of"),
     "graph_belongs_to": _part("belongs_to"),
     "graph_reported_in": _part("reported_in"),

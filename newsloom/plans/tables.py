@@ -185,8 +185,8 @@ def graph_input(spark, sf_dir):
     )
 
 
-def graph(spark, sf_dir):
-    """The graph over a written copy of the narrow load rows, made once per session.
+def load_rows(spark, sf_dir):
+    """The written copy of the narrow load rows, made once per session.
 
     Each node and edge table reads the load rows anew; from the copy that is a few short
     columns instead of the documents' full text and its joins.
@@ -196,7 +196,11 @@ def graph(spark, sf_dir):
         path = work_dir(spark, "graph-rows")
         graph_input(spark, sf_dir).write.mode("overwrite").parquet(path)
         _LOADED[key] = path
-    return build_graph(spark.read.parquet(_LOADED[key]), order_by=["article_id"])
+    return spark.read.parquet(_LOADED[key])
+
+
+def graph(spark, sf_dir):
+    return build_graph(load_rows(spark, sf_dir), order_by=["article_id"])
 
 
 def lexicon(spark):

@@ -69,6 +69,13 @@ def test_save_load_and_stream(spark, rows, fitted_features, tmp_path):
     assert labels(spark.table("scored_stream")) == want
 
 
+def test_bounded_training_rows(rows, fitted_features):
+    both = fitted_features.transform(rows)
+    with models.SentimentTrainer(both) as whole, models.SentimentTrainer(both, max_train_rows=30) as bounded:
+        assert bounded.train.count() == 30 and bounded.train.exceptAll(whole.train).count() == 0
+        assert bounded.test.count() == whole.test.count()
+
+
 def test_metrics_of_wrong_predictions(spark):
     pairs = [(0.0, 0.0), (0.0, 1.0), (1.0, 1.0), (1.0, 1.0), (2.0, 1.0), (2.0, 0.0)]
     scored = spark.createDataFrame(pairs, "label double, prediction double")
