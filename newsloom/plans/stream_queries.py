@@ -2,10 +2,12 @@
 
 from pyspark.sql import functions as F
 
+from newsloom.functions.words import parse_time
 from newsloom.operators.clean import clean_text
 from newsloom.operators.models import batch_score
 from newsloom.plans.model_queries import fit_and_save, load_fitted
 from newsloom.plans.tables import SCORED_SCHEMA, articles, land_topic, read, with_articles
+from newsloom.schemas import TIME_FORMAT
 from newsloom.session import work_dir
 from newsloom.sources.articles import parse_messages, read_topic_stream
 from newsloom.sources.sinks import land_json
@@ -82,11 +84,11 @@ def stream_keyword_count(spark, sf_dir):
     return _completed(spark, ops.keyword_count(_stream(spark, sf_dir)))
 
 
-def _windows(counts):
+def _windows(counts, label="event_type"):
     return counts.select(
         F.col("window.start").cast("timestamp_ntz").alias("window_start"),
         F.col("window.end").cast("timestamp_ntz").alias("window_end"),
-        "event_type",
+        label,
         "count",
     )
 
@@ -104,6 +106,12 @@ def stream_sentiment_windows(spark, sf_dir):
     return _appended(spark, _event_windows(stream))
 
 
+def stream_article_windows(spark, sf_dir):
+    """Scored articles per label in windows over their publish times."""
+    parsed = _stream(spark, sf_dir).withColumn("publish_time", parse_time(F.col("publish_time"), TIME_FORMAT))
+    return _appended(spark, _windows(ops.window_counts(parsed), "predicted_label"))
+
+
 def stream_late_data(spark, sf_dir):
     """Even event ids first, odd ones in a later run of the same stream: most come too late."""
     events = read(spark, sf_dir, "events").select("event_id", "ts", "event_type")
@@ -193,6 +201,16 @@ GROUP BY keyword"""
         f"""SELECT s AS window_start, s + INTERVAL 10 MINUTE AS window_end, event_type, count(*) AS count
 FROM ({_STARTS}) WHERE s + INTERVAL 10 MINUTE <= {_WATERMARK.format('')} GROUP BY ALL""",
     ),
+    "stream_article_windows": (
+        stream_article_windows,
+        with_articles(
+            """, timed AS (SELECT predicted_label, CAST(publish_time AS TIMESTAMP) AS t FROM articles),
+starts AS (SELECT predicted_label, unnest([time_bucket(INTERVAL 5 MINUTE, t),
+                                           time_bucket(INTERVAL 5 MINUTE, t) - INTERVAL 5 MINUTE]) AS s FROM timed)
+SELECT s AS window_start, s + INTERVAL 10 MINUTE AS window_end, predicted_label, count(*) AS count
+FROM starts WHERE s + INTERVAL 10 MINUTE <= (SELECT max(t) - INTERVAL 1 HOUR FROM timed) GROUP BY ALL"""
+        ),
+    ),
     "stream_late_data": (
         stream_late_data,
         f"""SELECT s AS window_start, s + INTERVAL 10 MINUTE AS window_end, event_type, count(*) AS count
