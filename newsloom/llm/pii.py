@@ -4,10 +4,12 @@ Base spans are emails, IP addresses, payment cards and phone numbers. A term (a
 added where it discloses the entity. Over all documents, with N documents, n(e) that hold entity e, n(t)
 that hold term t and n(e, t) that hold t within ``NEAR`` characters of e,
 
-    disclosure(e, t) = log(n(e, t) N / (n(e) n(t))) / log(N / n(e))
+    disclosure(e, t) = log(n(e, t) N / (n(e) (n(t) + SMOOTH))) / log(N / n(e))
 
-is the mutual information of the two over what there is to know about e: 1 where t occurs with e alone.
-Terms of ``SUPPORT`` documents with e and a disclosure of ``DISCLOSED`` or more are spans of kind term.
+is the mutual information of the two over what there is to know about e, as if ``SMOOTH`` more documents
+held t without e. It nears 1 where t occurs with e alone, the more so the rarer t is among the documents,
+so an entity of one document is judged too. Terms of ``SUPPORT`` documents with e and a disclosure of
+``DISCLOSED`` or more are spans of kind term.
 """
 
 from pyspark.sql import Window
@@ -16,7 +18,8 @@ from pyspark.sql import functions as F
 from newsloom.llm.lines import NO_KEY, bound
 
 NEAR = 100
-SUPPORT = 3
+SUPPORT = 1
+SMOOTH = 1
 DISCLOSED = 0.8
 SHORTEST_TERM = 4
 
@@ -140,7 +143,7 @@ def disclosing(docs, spans, terms, text="text", support=SUPPORT, disclosed=DISCL
     of_term = docs.select(F.explode(seen).alias("term")).filter(F.length("term") >= SHORTEST_TERM).groupBy("term").agg(F.count("*").alias("n_t"))
     total = docs.agg(F.count("*").alias("n"))
     pairs = together.join(of_term, "term").join(of_entity, "entity").crossJoin(F.broadcast(total))  # one row
-    shared = F.log(F.col("n_et") * F.col("n") / (F.col("n_e") * F.col("n_t"))) / F.log(F.col("n") / F.col("n_e"))
+    shared = F.log(F.col("n_et") * F.col("n") / (F.col("n_e") * (F.col("n_t") + SMOOTH))) / F.log(F.col("n") / F.col("n_e"))
     return pairs.filter(F.col("n") > F.col("n_e")).select("entity", "term", shared.alias("disclosure")).filter(F.col("disclosure") >= disclosed)
 
 

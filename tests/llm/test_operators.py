@@ -128,6 +128,14 @@ def test_pii_base_spans_and_terms(docs, none, rows):
     assert pii.find(none).count() == 0
 
 
+def test_pii_terms_of_entities_in_one_or_two_documents(spark):
+    texts = ["write to one@mail.org about zyzzyva today", "ask two@mail.org on quagga", "tell two@mail.org of quagga"]
+    texts += ["please write about today and tell them, ask them"] * 297
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    clean = {r.doc_id: r.text for r in pii.sanitise(docs).filter("doc_id < 3").collect()}
+    assert clean == {0: "write to [EMAIL] about [TERM] today", 1: "ask [EMAIL] on [TERM]", 2: "tell [EMAIL] of [TERM]"}
+
+
 def brute_classes(texts, threshold=0.8):
     sets = []
     for text in texts:
