@@ -9,12 +9,13 @@ that hold term t and n(e, t) that hold t within ``NEAR`` characters of e,
 is the mutual information of the two over what there is to know about e, as if ``SMOOTH`` more documents
 held t without e. It nears 1 where t occurs with e alone, the more so the rarer t is among the documents,
 so an entity of one document is judged too. Terms of ``SUPPORT`` documents with e and a disclosure of
-``DISCLOSED`` or more are spans of kind term.
+``DISCLOSED`` or more are spans of kind term wherever they stand, in any document.
 """
 
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from newsloom.llm.components import _written
 from newsloom.llm.lines import NO_KEY, bound
 
 NEAR = 100
@@ -22,6 +23,7 @@ SUPPORT = 1
 SMOOTH = 1
 DISCLOSED = 0.8
 SHORTEST_TERM = 4
+SENT = 100_000  # terms up to which their list is broadcast
 
 # The given patterns, without nested loops: Java's engine recurses on those and overflows on long runs.
 # A start lies at a run's beginning or where the last match ended, so a run is not tried at every place.
@@ -61,8 +63,20 @@ def _holds(kind, value):
     )
 
 
+def _around(hits, gaps, i, side):
+    """Up to NEAR + 1 characters of the whole text before (after) match i; a match has two characters or more."""
+    reach = NEAR // 2 + 1
+    low = F.greatest(i - reach, F.lit(0)) if side == "before" else i + 1
+    count = (i - low if side == "before" else F.least(F.lit(reach), F.size(hits) - low)).cast("int")
+    pieces = F.arrays_zip(F.slice(gaps, low + 1, count).alias("gap"), F.slice(hits, low + 1, count).alias("hit"))
+    joined = F.array_join(F.transform(pieces, lambda x: F.concat(x["gap"], x["hit"])), "")
+    last = F.get(gaps, low + count)
+    text = F.concat(joined, last)
+    return F.right(text, F.lit(NEAR + 1)) if side == "before" else F.left(text, F.lit(NEAR + 1))
+
+
 def _matches(text, kind, pattern):
-    """Matches of one kind as structs; null where the text has none."""
+    """Matches of one kind as structs; null where the text has none. Only those of their kind have contexts."""
     found = bound(
         F.regexp_extract_all(text, F.lit(pattern), F.lit(0)),
         lambda hits: F.when(
@@ -70,15 +84,15 @@ def _matches(text, kind, pattern):
             bound(
                 F.split(text, pattern, -1),
                 lambda gaps: F.transform(
-                    hits,
-                    lambda hit, i: F.struct(
+                    F.transform(hits, lambda hit: F.struct(hit.alias("value"), _holds(F.lit(kind), hit).alias("holds"))),
+                    lambda x, i: F.struct(
                         F.lit(kind).alias("kind"),
                         i.alias("i"),
-                        hit.alias("value"),
+                        x["value"].alias("value"),
+                        x["holds"].alias("holds"),
                         F.length(F.get(gaps, i)).alias("gap"),
-                        F.right(F.get(gaps, i), F.lit(NEAR)).alias("before"),
-                        F.left(F.get(gaps, i + 1), F.lit(NEAR)).alias("after"),
-                        F.length(F.get(gaps, i + 1)).alias("next_gap"),
+                        F.when(x["holds"], _around(hits, gaps, i, "before")).alias("before"),
+                        F.when(x["holds"], _around(hits, gaps, i, "after")).alias("after"),
                     ),
                 ),
             ),
@@ -100,7 +114,7 @@ def base_spans(docs, key="doc_id", text="text"):
         .withColumn("end", F.sum(F.col("gap") + F.length("value")).over(in_order))
         .withColumn("start", F.col("end") - F.length("value"))
     )
-    return placed.filter(_holds(F.col("kind"), F.col("value"))).drop("i")
+    return placed.filter("holds").drop("i", "holds", "gap")
 
 
 def _words(context):
@@ -119,27 +133,38 @@ def _words(context):
     )
 
 
+def _entity():
+    digits = F.when(F.col("kind") == "ip", F.col("value")).otherwise(_digits(F.col("value")))
+    return F.concat_ws(":", "kind", F.when(F.col("kind") == "email", F.lower("value")).otherwise(digits))
+
+
 def _near_terms(spans):
-    """k, t, entity, term, start, end of the words near each base span; words cut by the edge are left out."""
-    entity = F.concat_ws(":", "kind", F.when(F.col("kind") == "email", F.lower("value")).when(F.col("kind") == "ip", F.col("value")).otherwise(_digits(F.col("value"))))
-    left = F.filter(_words(F.col("before")), lambda w: (w["at"] > 0) | (F.col("gap") <= NEAR))
-    right = F.filter(_words(F.col("after")), lambda w: (w["at"] + F.length(w["term"]) < NEAR) | (F.col("next_gap") <= NEAR))
-    around = F.concat(
-        F.transform(left, lambda w: F.struct(w["term"].alias("term"), (F.col("start") - F.length("before") + w["at"]).alias("start"))),
-        F.transform(right, lambda w: F.struct(w["term"].alias("term"), (F.col("end") + w["at"]).alias("start"))),
+    """k, t, entity, term of the whole words of the text that lie within NEAR characters of each base span."""
+    # a word at the far edge of NEAR + 1 characters is cut or too far; one that touches the span is part of a longer one
+    ends = lambda part: F.col("value").rlike(part)
+    n = F.length("before")
+    left = F.filter(
+        _words(F.col("before")),
+        lambda w: ((w["at"] > 0) | (n <= NEAR)) & ((w["at"] + F.length(w["term"]) < n) | ~ends(rf"\A{WORD}")),
     )
-    words = spans.select("k", "t", entity.alias("entity"), F.explode(around).alias("w"))
-    return words.filter(F.length("w.term") >= SHORTEST_TERM).select(
-        "k", "t", "entity", F.lower("w.term").alias("term"), "w.start", (F.col("w.start") + F.length("w.term")).alias("end")
+    right = F.filter(
+        _words(F.col("after")),
+        lambda w: ((w["at"] + F.length(w["term"]) <= NEAR) | (F.length("after") <= NEAR)) & ((w["at"] > 0) | ~ends(rf"{WORD}\z")),
     )
+    words = spans.select("k", "t", _entity().alias("entity"), F.explode(F.concat(left, right)["term"]).alias("w"))
+    return words.filter(F.length("w") >= SHORTEST_TERM).select("k", "t", "entity", F.lower("w").alias("term"))
+
+
+def _distinct_words(text):
+    return F.array_distinct(F.regexp_extract_all(text, F.lit(WORD), F.lit(0)))
 
 
 def disclosing(docs, spans, terms, text="text", support=SUPPORT, disclosed=DISCLOSED):
     """entity, term, disclosure of the pairs at or over the thresholds; counts are over all documents."""
-    holds = spans.select("k", "t", F.concat_ws(":", "kind", F.when(F.col("kind") == "email", F.lower("value")).when(F.col("kind") == "ip", F.col("value")).otherwise(_digits(F.col("value")))).alias("entity"))
+    holds = spans.select("k", "t", _entity().alias("entity"))
     of_entity = holds.distinct().groupBy("entity").agg(F.count("*").alias("n_e"))
     together = terms.select("entity", "term", "k", "t").distinct().groupBy("entity", "term").agg(F.count("*").alias("n_et")).filter(F.col("n_et") >= support)
-    seen = F.array_distinct(F.regexp_extract_all(F.lower(F.coalesce(F.col(text), F.lit(""))), F.lit(WORD), F.lit(0)))
+    seen = _distinct_words(F.lower(F.coalesce(F.col(text), F.lit(""))))
     of_term = docs.select(F.explode(seen).alias("term")).filter(F.length("term") >= SHORTEST_TERM).groupBy("term").agg(F.count("*").alias("n_t"))
     total = docs.agg(F.count("*").alias("n"))
     pairs = together.join(of_term, "term").join(of_entity, "entity").crossJoin(F.broadcast(total))  # one row
@@ -147,12 +172,36 @@ def disclosing(docs, spans, terms, text="text", support=SUPPORT, disclosed=DISCL
     return pairs.filter(F.col("n") > F.col("n_e")).select("entity", "term", shared.alias("disclosure")).filter(F.col("disclosure") >= disclosed)
 
 
+def _occurrences(docs, terms, key, text):
+    """k, t, start, end of every place of the terms in the texts, near an entity or not.
+
+    Words of the texts find the terms; the found words, as they are written, are one pattern a text.
+    """
+    rows = _identified(docs, key, text)
+    words = rows.select("k", "t", F.explode(_distinct_words(F.col("text"))).alias("w")).filter(F.length("w") >= SHORTEST_TERM)
+    listed = F.broadcast(terms) if terms.count() <= SENT else terms
+    held = words.withColumn("term", F.lower("w")).join(listed, "term", "left_semi").groupBy("k", "t").agg(F.collect_set("w").alias("w"))
+    # words are digits, letters and non-ASCII characters only, so they need no quoting
+    alone = F.lit(WORD[:-1])
+    pattern = F.concat(F.lit("(?<!"), alone, F.lit(")(?:"), F.array_join("w", "|"), F.lit(")(?!"), alone, F.lit(")"))
+    found = bound(
+        pattern,
+        lambda p: F.arrays_zip(
+            F.transform(F.regexp_extract_all("text", p, F.lit(0)), F.length).alias("size"), F.transform(F.split("text", p, -1), F.length).alias("gap")
+        ),
+    )
+    hits = rows.join(held, ["k", "t"]).select("k", "t", F.posexplode(found).alias("i", "m")).filter("m.size IS NOT NULL")
+    in_order = Window.partitionBy("k", "t").orderBy("i")
+    placed = hits.dropDuplicates(["k", "t", "i"]).withColumn("end", F.sum(F.col("m.gap") + F.col("m.size")).over(in_order))
+    return placed.select("k", "t", (F.col("end") - F.col("m.size")).alias("start"), "end")
+
+
 def all_spans(docs, key="doc_id", text="text", support=SUPPORT, disclosed=DISCLOSED):
-    """k, t, kind, start, end of base spans and disclosing terms, each span once."""
+    """k, t, kind, start, end of base spans and of all places of disclosing terms, each span once."""
     spans = base_spans(docs, key, text)
-    terms = _near_terms(spans)
-    pairs = disclosing(docs, spans, terms, text, support, disclosed)
-    given = terms.join(pairs, ["entity", "term"], "left_semi").select("k", "t", F.lit("term").alias("kind"), "start", "end").distinct()
+    pairs = disclosing(docs, spans, _near_terms(spans), text, support, disclosed)
+    terms = _written(pairs.select("term").distinct(), "terms")
+    given = _occurrences(docs, terms, key, text).select("k", "t", F.lit("term").alias("kind"), "start", "end")
     return spans.select("k", "t", "kind", "start", "end").unionByName(given)
 
 

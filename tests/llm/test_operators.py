@@ -136,6 +136,18 @@ def test_pii_terms_of_entities_in_one_or_two_documents(spark):
     assert clean == {0: "write to [EMAIL] about [TERM] today", 1: "ask [EMAIL] on [TERM]", 2: "tell [EMAIL] of [TERM]"}
 
 
+def test_pii_terms_are_marked_wherever_they_stand(spark):
+    far = "so it was said, " * 20
+    texts = [f"Zyzzyva wrote as one@mail.org. {far}ZYZZYVA, zyzzyvas", "zyzzyva and Zyzzyva", "12 quagga 34 56 one2@mail.org 4111 1111 1111 1111"]
+    texts += ["so it was said and wrote as zyzzyvas, 1111 4111"] * 997
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    clean = {r.doc_id: r.text for r in pii.sanitise(docs).filter("doc_id < 4").collect()}
+    assert clean[0] == f"[TERM] wrote as [EMAIL]. {far}[TERM], zyzzyvas" and clean[1] == "[TERM] and [TERM]"
+    assert clean[2] == "12 [TERM] 34 56 [EMAIL] [CARD]" and clean[3] == texts[3]
+    card = spark.createDataFrame([(0, "12, quagga 34, 56, 4111 1111 1111 1111, 78, okapi"), *((i, "none") for i in range(1, 300))], "doc_id long, text string")
+    assert pii.sanitise(card).filter("doc_id = 0").first().text == "12, [TERM] 34, 56, [CARD], 78, [TERM]"
+
+
 def brute_classes(texts, threshold=0.8):
     sets = []
     for text in texts:
