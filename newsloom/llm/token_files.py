@@ -3,7 +3,7 @@
 Documents are range-partitioned and sorted by key, so shard k holds a run of keys and lies before
 shard k + 1. A task encodes its rows with the tokenizers library (its model merges
 each distinct pre-token once; the pattern splits a text into pre-tokens before any merge, so the ids
-are those of the whole text) and writes
+are those of the whole text; a text that holds an added token goes through the library whole) and writes
 
     ids-K.bin      ids, little-endian unsigned 16- or 32-bit
     offsets-K.bin  documents + 1 little-endian 64-bit positions within the shard
@@ -47,11 +47,10 @@ def byte_symbols():
 
 @functools.lru_cache(maxsize=2)
 def library_encoder(path):
-    """One per Python worker."""
+    """(encoder, tokenizer, contents of its added tokens), one per Python worker."""
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_file(path)
-    tokenizer.encode_special_tokens = True
     symbols = byte_symbols()
     special = {token.content for token in tokenizer.get_added_tokens_decoder().values()}
     entries = {
@@ -69,7 +68,21 @@ def library_encoder(path):
         stops = [0, *itertools.accumulate(map(len, tokens))]
         return [[x.id for x in model.tokenize(written[i:j])] for i, j in itertools.pairwise(stops)]
 
-    return Encoder(Vocabulary(entries), merge_all, whole=False)
+    return Encoder(Vocabulary(entries), merge_all, whole=False), tokenizer, [x.encode() for x in sorted(special)]
+
+
+def encode_chunk(path, buffer, offsets):
+    """(ids, firsts) of a chunk as the library encodes each text, without special tokens around it."""
+    encoder, tokenizer, added = library_encoder(path)
+    ids, firsts = encoder.exact(buffer, offsets)[:2]
+    data = buffer.tobytes()
+    if not any(x in data for x in added):
+        return ids, firsts
+    parts = [ids[a:b] for a, b in itertools.pairwise(firsts.tolist())]
+    for i, (a, b) in enumerate(itertools.pairwise(offsets.tolist())):
+        if any(data.find(x, a, b) >= 0 for x in added):
+            parts[i] = np.array(tokenizer.encode(data[a:b].decode(), add_special_tokens=False).ids, ids.dtype)
+    return np.concatenate(parts), np.cumsum([0, *map(len, parts)])
 
 
 def _store(folder):
@@ -98,7 +111,7 @@ def write(docs, folder, key="doc_id", text="text", path=None, end_id=2, width=2,
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         task = TaskContext.get()
         name = f"{task.partitionId()}-{task.taskAttemptId()}"
-        encoder, at, n = library_encoder(path), 0, 0
+        at, n = 0, 0
         batches = (b for b in batches if b.num_rows)
         first = next(batches, None)
         if first is None:
@@ -111,7 +124,7 @@ def write(docs, folder, key="doc_id", text="text", path=None, end_id=2, width=2,
         ):
             offsets_out.write(np.zeros(1, "<i8").tobytes())
             for rows, buffer, offsets in chunks(itertools.chain([first], batches)):
-                ids, firsts, _, _ = encoder.exact(buffer, offsets)
+                ids, firsts = encode_chunk(path, buffer, offsets)
                 stops = firsts[1:] + np.arange(1, len(firsts))  # with the end ids
                 out = np.full(len(ids) + len(stops), end_id, np.int64)
                 body = np.ones(len(out), bool)

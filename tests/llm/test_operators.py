@@ -103,6 +103,19 @@ def test_token_files_round_trip(spark, docs, none, rows):
     assert token_files.read(token_files.write(none, shared_folder(spark, "test"))).count() == 0
 
 
+def test_token_files_hold_added_tokens_as_the_library_does(spark):
+    from tokenizers import Tokenizer
+
+    library = Tokenizer.from_file(token_files.tokenizer_path())
+    texts = ["a<|endoftext|>b", "plain é", "<|endoftext|>", "", " x <|endoftext|><|endoftext|> it's\n", None, "<|endof", "text|> <|ENDOFTEXT|>", "last"]
+    assert library.encode(texts[0], add_special_tokens=False).ids == [64, 50256, 65]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = token_files.read(token_files.write(docs, shared_folder(spark, "test"), partitions=1), with_ids=True).collect()
+    want = [[*library.encode(t or "", add_special_tokens=False).ids, 2] for t in texts]
+    assert [np.frombuffer(r.ids, "<u4").tolist() for r in sorted(got, key=lambda r: r.doc_id)] == want
+    assert sorted(r.start for r in got) == [0, *itertools.accumulate(map(len, want))][:-1]
+
+
 KINDS = {
     "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",
     "card": r"[0-9]([\x20-]?[0-9])+", "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
