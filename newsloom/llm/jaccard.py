@@ -29,8 +29,16 @@ BLOCK = 512  # members of a block of a larger one
 SENT = 500_000  # keys up to which a list of nodes is broadcast (8 bytes each)
 
 
+def _key(key):
+    return F.col(key).cast("long").alias("key")
+
+
+def _text_name(text):
+    return F.xxhash64(F.coalesce(F.col(text), F.lit(""))).alias("t")
+
+
 def _signed(docs, key, text, words, trees, depth):
-    """key, two names of the shingle set, its size, and the prefix keys of the trees."""
+    """key, t (tells the texts of a repeated key), two names of the shingle set, its size, and the prefix keys of the trees."""
 
     def run(batches):
         for rows, buffer, offsets in chunks(batches):
@@ -38,11 +46,11 @@ def _signed(docs, key, text, words, trees, depth):
             keys = prefix_keys(minimums(value, firsts, trees * depth), trees, depth)
             h1, h2 = set_names(value, firsts)
             lists = pa.ListArray.from_arrays(np.arange(0, keys.size + 1, trees, dtype=np.int32), pa.array(keys.ravel()))
-            columns = {"key": rows.column(0), "h1": h1, "h2": h2, "n": np.diff(firsts), "trees": lists}
+            columns = {"key": rows.column(0), "t": rows.column(2), "h1": h1, "h2": h2, "n": np.diff(firsts), "trees": lists}
             yield pa.RecordBatch.from_pydict(columns)
 
-    rows = docs.select(F.col(key).cast("long").alias("key"), F.col(text).alias("text")).filter(F.col("key").isNotNull())
-    return rows.mapInArrow(run, "key long, h1 long, h2 long, n long, trees array<bigint>").filter("n > 0")
+    rows = docs.select(_key(key), F.col(text).alias("text"), _text_name(text)).filter(F.col("key").isNotNull())
+    return rows.mapInArrow(run, "key long, t long, h1 long, h2 long, n long, trees array<bigint>").filter("n > 0")
 
 
 def _sets(docs, nodes, key, text, words):
@@ -54,14 +62,14 @@ def _sets(docs, nodes, key, text, words):
             h1, h2 = set_names(value, firsts)
             raw = value.view(np.uint8).tobytes()
             own = [raw[8 * a : 8 * b] for a, b in zip(firsts[:-1].tolist(), firsts[1:].tolist(), strict=True)]
-            yield pa.RecordBatch.from_pydict({"node": rows.column(0), "h1": h1, "h2": h2, "shingles": pa.array(own, pa.binary())})
+            yield pa.RecordBatch.from_pydict({"key": rows.column(0), "h1": h1, "h2": h2, "shingles": pa.array(own, pa.binary())})
 
-    rows = docs.select(F.col(key).cast("long").alias("node"), F.col(text).alias("text"))
-    wanted = nodes.select("node")
+    rows = docs.select(_key(key), F.col(text).alias("text"))
+    wanted = nodes.select("key")
     wanted = F.broadcast(wanted) if wanted.count() <= SENT else wanted
-    made = rows.join(wanted, "node", "left_semi").mapInArrow(run, "node long, h1 long, h2 long, shingles binary")
+    made = rows.join(wanted, "key", "left_semi").mapInArrow(run, "key long, h1 long, h2 long, shingles binary")
     # a repeated key may stand at another text: the set's names tell
-    return made.join(nodes, ["node", "h1", "h2"]).groupBy("node").agg(
+    return made.join(nodes, ["key", "h1", "h2"]).groupBy("node").agg(
         *(F.first(c).alias(c) for c in ("n", "copies", "trees", "shingles"))
     )
 
@@ -132,26 +140,20 @@ def _check_block(threshold):
     return run
 
 
-def classes(docs, key="doc_id", text="text", threshold=THRESHOLD, words=SHINGLE, trees=TREES, recall=RECALL):
-    """key, class_id, n_links, n_class of every row.
-
-    Two rows are linked where their shingle sets have that Jaccard similarity or more; n_links counts the
-    other rows a row is linked to, class_id is the least key reached over links, n_class the rows of the
-    class. A text without words, null ones included, is linked to nothing, and its class is its own key.
-    A null key has a null class and no links. Rows of one key keep one row each; equal rows are linked.
-    """
+def _classed(docs, key, text, threshold=THRESHOLD, words=SHINGLE, trees=TREES, recall=RECALL):
+    """key, t, label, class_id, n_links, n_class of every row with a key and words; ``label`` alone tells classes apart."""
     depth = depth_for(threshold, trees, DEEPEST, recall)
     signed = _written(_signed(docs, key, text, words, trees, depth), "signed")
+    # A repeated key may be the least one of several sets, so nodes have numbers of their own, fixed once written.
     nodes = _written(
-        signed.groupBy("h1", "h2").agg(
-            F.min("key").alias("node"), F.count("*").alias("copies"), F.first("n").alias("n"), F.first("trees").alias("trees")
-        ),
+        signed.groupBy("h1", "h2")
+        .agg(F.min("key").alias("key"), F.count("*").alias("copies"), F.first("n").alias("n"), F.first("trees").alias("trees"))
+        .withColumn("node", F.monotonically_increasing_id()),
         "nodes",
     )
     spread = nodes.select("node", F.posexplode("trees").alias("tree", "bucket"))
     sizes = spread.groupBy("bucket").agg(F.count("*").alias("size")).filter("size > 1")
     members = _written(spread.join(sizes, "bucket"), "members")
-    # A key may stand for two nodes if it is repeated; they are told apart by the set's names below.
     candidates = members.select("node").distinct().join(nodes, "node")
     sets = _written(_sets(docs, candidates, key, text, words), "sets")
 
@@ -198,20 +200,33 @@ def classes(docs, key="doc_id", text="text", threshold=THRESHOLD, words=SHINGLE,
         .agg(F.sum("links").alias("links"))
     )
     placed = (
-        nodes.select("h1", "h2", "node", "copies")
+        nodes.select("h1", "h2", "node", "key", "copies")
         .join(labels, "node", "left")
         .join(counts, "node", "left")
         .select(
             "h1",
             "h2",
+            "key",
             "copies",
-            F.coalesce("label", "node").alias("class_id"),
+            F.coalesce("label", "node").alias("label"),
             (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"),
         )
     )
-    members_of = placed.groupBy("class_id").agg(F.sum("copies").alias("n_class"))
-    placed = placed.join(members_of, "class_id")
-    found = signed.select("key", "h1", "h2").join(placed, ["h1", "h2"]).select("key", "class_id", "n_links", "n_class")
+    of_label = placed.groupBy("label").agg(F.min("key").alias("class_id"), F.sum("copies").alias("n_class"))
+    placed = placed.drop("key", "copies").join(of_label, "label")
+    return signed.select("key", "t", "h1", "h2").join(placed, ["h1", "h2"]).select("key", "t", "label", "class_id", "n_links", "n_class")
+
+
+def classes(docs, key="doc_id", text="text", **options):
+    """key, class_id, n_links, n_class of every row; ``options``: threshold, words, trees, recall.
+
+    Two rows are linked where their shingle sets have that Jaccard similarity or more; n_links counts the
+    other rows a row is linked to, class_id is the least key reached over links, n_class the rows of the
+    class. A text without words, null ones included, is linked to nothing, and its class is its own key.
+    A null key has a null class and no links. Rows of one key keep one row each, every text with its own
+    links; equal rows are linked. Classes that share a repeated key as their least have equal class_ids.
+    """
+    found = _classed(docs, key, text, **options).select("key", "class_id", "n_links", "n_class")
     # texts without words: those rows that were not signed
     bare = _bare(docs, key, text).select("key", F.col("key").alias("class_id"), F.lit(0).cast("long").alias("n_links"), F.when(F.col("key").isNotNull(), 1).cast("long").alias("n_class"))
     return found.unionByName(bare).withColumnRenamed("key", key)
@@ -224,10 +239,22 @@ def _bare(docs, key, text):
 
 
 def keep_one(docs, key="doc_id", text="text", **options):
-    """``docs``, all columns, with one row a class: the one of least key. Rows of null key all stay.
+    """``docs``, all columns, with one row a class: the one of least key. Rows of null key or without words all stay.
 
-    Equal rows of one key stay or go together.
+    Of a class's rows of least key, those of one text are looked at, and one of them stays.
     """
-    found = classes(docs, key, text, **options)
-    gone = found.filter(F.col(key) != F.col("class_id")).select(key).distinct()
-    return docs.join(gone, key, "left_anti").select(docs.columns)
+    found = _written(_classed(docs, key, text, **options).select("key", "t", "label"), "classed")
+    rows = found.groupBy("label", "key", "t").agg(F.count("*").alias("n"))
+    first = found.groupBy("label").agg(F.min("key").alias("key")).join(rows, ["label", "key"]).groupBy("label", "key").agg(F.min("t").alias("t"))
+    repeated = _written(rows.filter("n > 1").join(first, ["label", "key", "t"], "left_semi").select("key", "t"), "repeated")
+    gone = rows.join(first, ["label", "key", "t"], "left_anti").select("key", "t").unionByName(repeated)
+    # names that no column of docs has
+    named = docs.withColumns({"_key": F.col(key).cast("long"), "_t": _text_name(text)})
+    under = lambda x: x.withColumnsRenamed({"key": "_key", "t": "_t"})
+    stay = named.join(under(gone), ["_key", "_t"], "left_anti").select(docs.columns)
+    n = repeated.count()
+    if not n:
+        return stay
+    repeated = F.broadcast(repeated) if n <= SENT else repeated
+    one = named.join(under(repeated), ["_key", "_t"], "left_semi").dropDuplicates(["_key", "_t"])
+    return stay.unionByName(one.select(docs.columns))

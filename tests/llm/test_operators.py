@@ -185,6 +185,22 @@ def test_jaccard_equals_brute_force(docs, none, rows, small, monkeypatch):
     assert jaccard.classes(none).count() == 0
 
 
+@pytest.mark.parametrize("small", [32, 1])
+def test_jaccard_repeated_keys(spark, small, monkeypatch):
+    monkeypatch.setattr(jaccard, "SMALL", small)
+    a, b, c, d = (" ".join(f"{x}{i}" for i in range(60)) for x in "abcd")
+    near = lambda x: x + " more"
+    rows = [(3, a), (5, a), (5, b), (5, c), (9, near(b)), (8, near(c)), (4, d), (4, d), (4, near(d)), (None, d), (6, ""), (6, "")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = jaccard.classes(docs).filter("doc_id IS NOT NULL AND doc_id != 6")
+    own = [(3, 3, 1, 2), (5, 3, 1, 2), (5, 5, 1, 2), (5, 5, 1, 2), (9, 5, 1, 2), (8, 5, 1, 2)] + [(4, 4, 2, 3)] * 3
+    assert keyed(got, "doc_id", "class_id", "n_links", "n_class") == sorted(own, key=repr)
+    kept = keyed(jaccard.keep_one(docs), "doc_id", "text")
+    of_four = [x for x in kept if x[0] == 4]
+    assert len(of_four) == 1 and of_four[0][1] in (d, near(d))
+    assert sorted(set(kept) - set(of_four), key=repr) == sorted({(3, a), (5, b), (5, c), (None, d), (6, "")}, key=repr) and len(kept) == 7
+
+
 def test_components(spark):
     edges = spark.createDataFrame([(i, i + 1) for i in range(40)] + [(100, i) for i in range(101, 140)], "u long, v long")
     assert keyed(components.components(edges), "node", "label") == sorted([(i, 0) for i in range(41)][1:] + [(0, 0)] + [(i, 100) for i in range(100, 140)], key=repr)
