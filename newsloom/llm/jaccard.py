@@ -1,8 +1,9 @@
-"""N-gram Jaccard join: a MinHash LSH forest finds candidates, exact set comparison decides.
+"""N-gram Jaccard join: banded MinHash finds candidates, exact set comparison decides.
 
-Texts of equal shingle sets are one node with a number of copies. Each node has ``TREES`` labels of up
-to ``DEEPEST`` minimum hashes; prefixes are shortened from the deepest until two texts of the threshold's
-similarity share one in some tree with probability ``RECALL``. Nodes that share a prefix form a bucket.
+Texts of equal shingle sets are one node with a number of copies. Each node has ``TREES`` bands of one
+depth, the greatest up to ``DEEPEST`` minimum hashes at which two texts of the threshold's similarity
+share one with probability ``RECALL``. This is no LSH forest: prefixes have that depth for all nodes.
+Nodes that share a band form a bucket.
 
 * Small buckets give pairs; a pair of several trees is compared once.
 * Large buckets are dealt into pairs of blocks, each compared in one task that returns sums and one edge
