@@ -1,33 +1,34 @@
-"""Connected components of an edge table by alternating large and small stars, all in joins."""
+"""Connected components of an edge table by alternating large and small stars, all in joins.
+
+The edges of a hub stay where they are and are told its least neighbour; no task meets them all.
+"""
 
 from pyspark.sql import functions as F
 
-from newsloom.llm.work import shared_folder
+from newsloom.llm.work import hub_join, written
 
 
 def _written(df, name):
-    path = shared_folder(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.parquet(path)
+    return written(df, name)
 
 
-def _large_star(edges):
+def _large_star(edges, total):
     both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-    least = both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
-    return both.filter("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+    least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"), F.count("*").alias("size"))
+    return hub_join(both.filter("v > u"), least, "u", "size", 2 * total).select(F.col("v").alias("u"), F.col("m").alias("v"))
 
 
-def _small_star(edges):
+def _small_star(edges, total):
     down = edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
-    least = down.groupBy("u").agg(F.min("v").alias("m"))
-    moved = down.join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+    least = down.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("size"))
+    moved = hub_join(down, least, "u", "size", total).select(F.col("v").alias("u"), F.col("m").alias("v"))
     return moved.unionByName(least.select("u", F.col("m").alias("v")))
 
 
 def components(edges, left="u", right="v"):
     """(node, label): the least node of its component, for every node of the edges; no edges, no rows.
 
-    Each round is written to the shared folder, so neither its lineage nor its recovery grows.
+    An edge with a null end is left out. Each round is written to the shared folder, so neither its lineage nor its recovery grows.
     """
     edges = edges.select(F.col(left).alias("u"), F.col(right).alias("v"))
     edges = _written(edges.filter("u != v").distinct(), "edges")
@@ -37,7 +38,7 @@ def components(edges, left="u", right="v"):
         if state == seen or not state[0]:
             break
         seen = state
-        edges = _written(_small_star(_large_star(edges)).filter("u != v").distinct(), "edges")
+        edges = _written(_small_star(_large_star(edges, state[0]), state[0]).filter("u != v").distinct(), "edges")
     return edges.select(F.col("u").alias("node"), F.col("v").alias("label")).unionByName(
         edges.select(F.col("v").alias("node"), F.col("v").alias("label")).distinct()
     )

@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from newsloom.llm import bpe, chat, decontaminate, fingerprint, jaccard, lines, pii, quality, token_files, toxicity
+from newsloom.llm import alignment, bpe, chat, decontaminate, fingerprint, jaccard, lines, near_dup, pii, quality, resample, token_files, toxicity
 from newsloom.llm.work import shared_folder
 
 
@@ -105,6 +105,21 @@ def op10_fm_decontamination(spark, sf_dir):
     )
 
 
+def op11_tokenizer_alignment(spark, sf_dir):
+    """How the tokens of two public vocabularies line up in every document."""
+    return alignment.align(_read(spark, sf_dir, "documents"))
+
+
+def op12_minhash_near_dup(spark, sf_dir):
+    """Component of near-copies of every document, over sets of word pairs."""
+    return near_dup.near_duplicates(_read(spark, sf_dir, "documents"))
+
+
+def op13_importance_resample(spark, sf_dir):
+    """Weight towards the benchmark's words, noisy score and rank in the draw of every document."""
+    return resample.resample(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "benchmark"))
+
+
 _OP10_SQL = r"""
 WITH words AS (
   SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
@@ -164,6 +179,35 @@ SELECT doc_id, class_id, coalesce(n, 0) AS n_links, n_class
 FROM classes LEFT JOIN (SELECT a AS doc_id, count(*) AS n FROM links GROUP BY a) USING (doc_id)
 """
 
+_OP12_SQL = r"""
+WITH RECURSIVE words AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\x20\x09-\x0D]+') AS w
+  FROM documents
+),
+grams AS (
+  SELECT DISTINCT doc_id, array_to_string(w[k:k + 1], ' ') AS g
+  FROM (SELECT *, unnest(generate_series(1, greatest(1, len(w) - 1))) AS k FROM words WHERE len(w) > 0)
+),
+sizes AS (SELECT doc_id, count(*) AS n FROM grams GROUP BY doc_id),
+common AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c
+  FROM grams a JOIN grams b ON a.g = b.g AND a.doc_id <> b.doc_id GROUP BY ALL
+),
+links AS (
+  SELECT a, b FROM common JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b
+  WHERE 100 * c >= 80 * (x.n + y.n - c)
+),
+reach AS (
+  SELECT doc_id AS a, doc_id AS b FROM documents
+  UNION
+  SELECT r.a, l.b FROM reach r JOIN links l ON l.a = r.b
+),
+least AS (SELECT a AS doc_id, min(b) AS component_id FROM reach GROUP BY a)
+SELECT doc_id, coalesce(n, 0) AS n_shingles, component_id, doc_id = component_id AS kept
+FROM least LEFT JOIN sizes USING (doc_id)
+"""
+
 _ALL = (
     op1_bpe_encode_decode,
     op2_quartile_fingerprint,
@@ -175,6 +219,9 @@ _ALL = (
     op8_line_dedup,
     op9_chat_windows,
     op10_fm_decontamination,
+    op11_tokenizer_alignment,
+    op12_minhash_near_dup,
+    op13_importance_resample,
 )
 QUERIES = {f.__name__: f for f in _ALL}
-SQL = {"op7_jaccard_forest": _OP7_SQL, "op10_fm_decontamination": _OP10_SQL}
+SQL = {"op7_jaccard_forest": _OP7_SQL, "op10_fm_decontamination": _OP10_SQL, "op12_minhash_near_dup": _OP12_SQL}

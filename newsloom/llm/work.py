@@ -2,6 +2,11 @@
 
 import uuid
 
+from pyspark.sql import functions as F
+
+HUB = 256  # rows that no task minds
+HUBS = 50_000
+
 
 def shared_folder(spark, name):
     """A fresh path below ``spark.checkpoint.dir``, which all executors share.
@@ -16,3 +21,22 @@ def shared_folder(spark, name):
     if base.startswith("/"):
         base = f"file://{base}"
     return f"{base.rstrip('/')}/llm/{name}-{uuid.uuid4().hex}"
+
+
+def written(df, name, **options):
+    """``df`` written to the shared folder and read again: its lineage ends there."""
+    path = shared_folder(df.sparkSession, name)
+    df.write.options(**options).parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
+def hub_join(rows, one, on, size, total):
+    """``rows`` joined with ``one``, which has one row a key and in ``size`` at least the number of its rows.
+
+    Keys of more than ``total / HUBS`` rows, so ``HUBS`` at most, are broadcast and their rows stay where
+    they are; only other keys meet in a task. ``total`` is the sum of ``size`` over all keys, or less.
+    """
+    cut = max(HUB, total // HUBS)
+    heavy, light = one.filter(F.col(size) > cut), one.filter(F.col(size) <= cut)
+    rest = rows.join(F.broadcast(heavy.select(on)), on, "left_anti").join(light, on)
+    return rows.join(F.broadcast(heavy), on).unionByName(rest)
