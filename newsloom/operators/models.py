@@ -1,25 +1,29 @@
 """Classifier training with cross-validation, evaluation, saving and batch scoring."""
 
-from pyspark.ml.classification import (
-    DecisionTreeClassifier,
-    LinearSVC,
-    LogisticRegression,
-    NaiveBayes,
-    OneVsRest,
-    RandomForestClassifier,
-)
+from pyspark.ml.classification import LinearSVC, LogisticRegression, NaiveBayes, OneVsRest
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.ml.tuning import CrossValidator, CrossValidatorModel, ParamGridBuilder
 from pyspark.sql import functions as F
 
+from newsloom.operators import bayes, trees
 from newsloom.operators.clean import drop_nulls, split_bucket, train_test_split
 from newsloom.operators.features import decode_label, labels_of
+from newsloom.operators.sparse import vector_size
 
 METRICS = ("accuracy", "weightedPrecision", "weightedRecall", "f1")
 
+# The settings that each model is tried with.
+SMOOTHINGS = [0.0, 1.0]
+LOGISTIC_REG, LOGISTIC_ELASTIC = [0.0, 0.1], [0.0, 0.5]
+SVM_REG = [0.1, 0.01]
+TREE_COUNTS, DEPTHS, BINS = [5, 10], [3, 5], [8, 16]
+
 
 class SentimentTrainer:
-    """Splits once, keeps the training rows for the many fits, and trains on request.
+    """Splits once, keeps the training rows for the fits, and trains on request.
+
+    Naive Bayes and trees train all folds and settings together (see ``bayes`` and ``trees``); the gradient
+    models go through Spark's cross-validation.
 
     Split and folds come from the key's hash rather than from random numbers per partition:
     a recomputed partition lands in the same split and fold after an executor is lost.
@@ -36,7 +40,8 @@ class SentimentTrainer:
         train = train.dropna(subset=[x, y])
         if max_train_rows is not None:
             train = train.orderBy(F.sha2(F.col(key).cast("string"), 256), key).limit(max_train_rows)
-        self.train = train.select(x, y, fold.alias("_fold")).dropna().persist()
+        digest = F.xxhash64(F.col(key).cast("string")).alias("_row")
+        self.train = train.select(x, y, fold.alias("_fold"), digest).dropna().persist()
         self.test = drop_nulls(test, x, y)
 
     def __enter__(self):
@@ -47,29 +52,36 @@ class SentimentTrainer:
 
     def naive_bayes(self):
         model = NaiveBayes(labelCol=self.y, featuresCol=self.x)
-        return self._fit(model, ParamGridBuilder().addGrid(model.smoothing, [0.0, 1.0]).build())
+        search = self._search(model, ParamGridBuilder().addGrid(model.smoothing, SMOOTHINGS).build())
+        best, accuracies = bayes.cross_validate(
+            self.train, self.x, self.y, "_fold", self.folds, vector_size(self.train, self.x), SMOOTHINGS
+        )
+        return search._copyValues(CrossValidatorModel(best, accuracies))
 
     def logistic_regression(self, max_iter=10):
         model = LogisticRegression(labelCol=self.y, featuresCol=self.x, maxIter=max_iter)
-        grid = ParamGridBuilder().addGrid(model.regParam, [0.0, 0.1])
-        return self._fit(model, grid.addGrid(model.elasticNetParam, [0.0, 0.5]).build())
+        grid = ParamGridBuilder().addGrid(model.regParam, LOGISTIC_REG)
+        return self._fit(model, grid.addGrid(model.elasticNetParam, LOGISTIC_ELASTIC).build())
 
     def linear_svm(self, max_iter=10):
         svm = LinearSVC(labelCol=self.y, featuresCol=self.x, maxIter=max_iter)
         model = OneVsRest(classifier=svm, labelCol=self.y, featuresCol=self.x)
-        return self._fit(model, ParamGridBuilder().addGrid(svm.regParam, [0.1, 0.01]).build())
+        return self._fit(model, ParamGridBuilder().addGrid(svm.regParam, SVM_REG).build())
 
     def random_forest(self):
-        model = RandomForestClassifier(labelCol=self.y, featuresCol=self.x, seed=42)
-        grid = ParamGridBuilder().addGrid(model.numTrees, [5, 10]).addGrid(model.maxDepth, [3, 5])
-        return self._fit(model, grid.addGrid(model.maxBins, [8, 16]).build())
+        return self._trees(TREE_COUNTS)
 
     def decision_tree(self):
-        model = DecisionTreeClassifier(labelCol=self.y, featuresCol=self.x, seed=42)
-        grid = ParamGridBuilder().addGrid(model.maxDepth, [3, 5])
-        return self._fit(model, grid.addGrid(model.maxBins, [8, 16]).build())
+        return self._trees([1])
+
+    def _trees(self, tree_counts):
+        size = vector_size(self.train, self.x)
+        return trees.cross_validate(self.train, self.x, self.y, "_fold", self.folds, size, DEPTHS, BINS, tree_counts)
 
     def _fit(self, model, grid):
+        return self._search(model, grid).fit(self.train)
+
+    def _search(self, model, grid):
         return CrossValidator(
             estimator=model,
             estimatorParamMaps=grid,
@@ -77,7 +89,7 @@ class SentimentTrainer:
             numFolds=self.folds,
             foldCol="_fold",
             parallelism=self.parallelism,
-        ).fit(self.train)
+        )
 
     def _evaluator(self, metric):
         return MulticlassClassificationEvaluator(
@@ -135,6 +147,8 @@ def classification_metrics(df, label="label", prediction="prediction"):
 
 def grid_results(model):
     """Mean accuracy per parameter setting of a fitted cross-validation."""
+    if isinstance(model, trees.ForestSearch):
+        return model.grid
     return [
         ({param.name: value for param, value in params.items()}, float(score))
         for params, score in zip(model.getEstimatorParamMaps(), model.avgMetrics)
