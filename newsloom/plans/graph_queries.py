@@ -3,6 +3,7 @@
 from pyspark.sql import functions as F
 
 from newsloom.functions.words import SHORT_STOP_WORDS, STOP_WORDS
+from newsloom.operators import compressed
 from newsloom.operators import graph_reports as reports
 from newsloom.operators.graph import build_graph, merge_graphs
 from newsloom.plans.tables import graph, load_rows, with_graph
@@ -36,6 +37,9 @@ def _words_sql(stop_words, extra=""):
     )
 
 
+CHOSEN = 20  # titles whose combinations are multiplied out
+NEWEST = 100  # rows of the newest related pairs
+
 _WORD = _words_sql(STOP_WORDS)
 _YMD = "CAST(year({0}) AS VARCHAR) || '-' || CAST(month({0}) AS VARCHAR)"
 _PERIOD = """CASE WHEN hour(publish_time) >= 6 AND hour(publish_time) < 12 THEN 'Morning'
@@ -146,6 +150,60 @@ FROM (SELECT section, category, CAST(date AS VARCHAR) AS d FROM {_SECTIONS} JOIN
 GROUP BY ALL""",
     "sub_section_categories": """SELECT sub_section, category, count(*) AS count
 FROM belongs_to JOIN has_category USING (title) GROUP BY ALL""",
+    "article_profile_factors": """SELECT title AS news_title, 'publish_date' AS kind, CAST(date AS VARCHAR) AS value, CAST(NULL AS VARCHAR) AS within FROM published_on
+UNION ALL SELECT title, 'location', location, NULL FROM reported_in
+UNION ALL SELECT title, 'category', category, NULL FROM has_category
+UNION ALL SELECT title, 'sub_section', sub_section, NULL FROM belongs_to
+UNION ALL SELECT NULL, 'section', section, sub_section FROM part_of""",
+    "article_profile_counts": """SELECT title AS news_title, n_dates, n_locations, n_categories, n_sections,
+       n_dates * n_locations * n_categories * n_sections AS n_combinations
+FROM (SELECT title, count(*) AS n_dates FROM published_on GROUP BY title)
+JOIN (SELECT title, count(*) AS n_locations FROM reported_in GROUP BY title) USING (title)
+JOIN (SELECT title, count(*) AS n_categories FROM has_category GROUP BY title) USING (title)
+JOIN (SELECT title, count(*) AS n_sections FROM belongs_to JOIN part_of USING (sub_section) GROUP BY title) USING (title)""",
+    "article_profile_of_titles": f"""SELECT title AS news_title, summary AS news_summary, CAST(date AS VARCHAR) AS publish_date,
+       sub_section AS subsection_name, section AS section_name, location AS location_name, category AS category_name
+FROM (SELECT * FROM news ORDER BY title LIMIT {CHOSEN}) JOIN published_on USING (title) JOIN belongs_to USING (title)
+JOIN part_of USING (sub_section) JOIN reported_in USING (title) JOIN has_category USING (title)""",
+    "related_pair_counts": """
+, each AS (SELECT title, n1 * n2 * n3 * n4 AS n, newest
+  FROM (SELECT title, count(*) AS n1, CAST(max(date) AS VARCHAR) AS newest FROM published_on GROUP BY title)
+  JOIN (SELECT title, count(*) AS n2 FROM has_category GROUP BY title) USING (title)
+  JOIN (SELECT title, count(*) AS n3 FROM reported_in GROUP BY title) USING (title)
+  JOIN (SELECT title, count(*) AS n4 FROM belongs_to GROUP BY title) USING (title))
+SELECT a.title AS news1, b.title AS news2, a.newest AS newest1, a.n AS rows1, b.n AS rows2, CAST(CAST(a.n AS HUGEINT) * b.n AS DECIMAL(38, 0)) AS n_rows
+FROM related r JOIN each a ON a.title = r.title JOIN each b ON b.title = r.related_title""",
+    "newest_related_rows": f"""
+, entries AS (SELECT DISTINCT r.title AS news1, r.related_title AS news2, CAST(p.date AS VARCHAR) AS publish_date1
+  FROM related r JOIN published_on p ON p.title = r.title ORDER BY publish_date1 DESC, news1, news2 LIMIT {NEWEST}),
+sides AS (SELECT title, CAST(date AS VARCHAR) AS d, category AS c, location AS l, sub_section AS s
+  FROM (SELECT news1 AS title FROM entries UNION SELECT news2 FROM entries) JOIN published_on USING (title)
+  JOIN has_category USING (title) JOIN reported_in USING (title) JOIN belongs_to USING (title)),
+left_rows AS (SELECT * FROM sides QUALIFY row_number() OVER (PARTITION BY title, d ORDER BY c, l, s) <= {NEWEST}),
+right_rows AS (SELECT * FROM sides QUALIFY row_number() OVER (PARTITION BY title ORDER BY d DESC, c, l, s) <= {NEWEST})
+SELECT news1, publish_date1, a.c AS category1, a.l AS location1, a.s AS sub_section1, news2, b.d AS publish_date2,
+       b.c AS category2, b.l AS location2, b.s AS sub_section2
+FROM entries JOIN left_rows a ON a.title = news1 AND a.d = publish_date1 JOIN right_rows b ON b.title = news2
+ORDER BY publish_date1 DESC, news1, news2, a.c, a.l, a.s, b.d DESC, b.c, b.l, b.s LIMIT {NEWEST}""",
+    "place_day_groups": """SELECT location, date, n AS n_titles, n * (n - 1) // 2 AS n_pairs
+FROM (SELECT location, date, count(*) AS n FROM place_days GROUP BY location, date)""",
+    "place_day_members": f"""SELECT location, date, part, count(*) AS n_titles, string_agg(title, '|' ORDER BY title) AS titles
+FROM (SELECT *, ('0x' || substr(md5(title), 1, 8))::BIGINT % CAST(ceil(count(*) OVER (PARTITION BY location, date) / {compressed.BLOCK}) AS BIGINT) AS part
+      FROM place_days) GROUP BY location, date, part""",
+    "pairs_per_title": """SELECT title AS news_title, count(*) AS n_groups, CAST(sum(n - 1) AS BIGINT) AS n_pairs
+FROM place_days JOIN (SELECT location, date, count(*) AS n FROM place_days GROUP BY location, date) USING (location, date) GROUP BY title""",
+    "pairs_of_titles": f"""SELECT a.title AS news, b.title AS other, location, date
+FROM place_days a JOIN place_days b USING (location, date)
+WHERE a.title <> b.title AND a.title IN (SELECT title FROM news ORDER BY title LIMIT {CHOSEN})""",
+    "pairs_of_place": """SELECT a.title AS news1, b.title AS news2, a.location, CAST(year(a.date) AS INT) AS publish_year,
+       CAST(month(a.date) AS INT) AS publish_month, CAST(day(a.date) AS INT) AS publish_day
+FROM place_days a JOIN place_days b ON a.location = b.location AND a.date = b.date AND a.title < b.title
+WHERE a.location = 'ASIA BUILDING' AND a.date = DATE '2024-01-20'""",
+    "neighbour_words": f"""
+, linked AS (SELECT DISTINCT a.title, b.title AS related_title FROM place_days a JOIN place_days b USING (location, date) WHERE a.title <> b.title),
+pairs AS (SELECT DISTINCT word, related_title FROM (SELECT {_WORD}, related_title FROM linked)),
+top_words AS (SELECT word, count(*) AS related_count FROM pairs GROUP BY word ORDER BY related_count DESC, word LIMIT 10)
+SELECT word, related_count, related_title FROM pairs JOIN top_words USING (word)""",
 }
 
 
@@ -167,6 +225,25 @@ def related_edges(spark, sf_dir):
     return reports.related_edges(graph(spark, sf_dir))
 
 
+def _chosen(tables):
+    return tables.news.select("title").orderBy("title").limit(CHOSEN)
+
+
+def article_profile_of_titles(spark, sf_dir):
+    tables = graph(spark, sf_dir)
+    return compressed.profiles_of(tables, _chosen(tables))
+
+
+def pairs_of_titles(spark, sf_dir):
+    tables = graph(spark, sf_dir)
+    return compressed.pairs_of_titles(tables, _chosen(tables))
+
+
+def place_day_members(spark, sf_dir):
+    members = compressed.place_day_members(graph(spark, sf_dir))
+    return members.select("location", "date", "part", F.size("titles").cast("long").alias("n_titles"), F.array_join("titles", "|").alias("titles"))
+
+
 _RUN = {
     "graph_news_nodes": graph_news_nodes,
     "graph_merge": graph_merge,
@@ -180,6 +257,17 @@ _RUN = {
     "related_title_words": _related(reports.related_title_words),
     "related_pair_profile": _related(reports.related_pair_profile),
     "keyword_by_location": _report(reports.keyword_by_location, keyword="tion"),
+    "article_profile_factors": _report(compressed.profile_factors),
+    "article_profile_counts": _report(compressed.profile_counts),
+    "article_profile_of_titles": article_profile_of_titles,
+    "related_pair_counts": _related(compressed.related_pair_counts),
+    "newest_related_rows": _related(compressed.newest_related_rows, limit=NEWEST),
+    "place_day_groups": _report(compressed.place_day_groups),
+    "place_day_members": place_day_members,
+    "pairs_per_title": _report(compressed.pairs_per_title),
+    "pairs_of_titles": pairs_of_titles,
+    "pairs_of_place": _report(compressed.pairs_of_place, location="ASIA BUILDING", date="2024-01-20"),
+    "neighbour_words": _report(compressed.neighbour_words),
 }
 # The rest are named after their function.
 _RUN |= {name: _report(getattr(reports, name)) for name in _SQL if name not in _RUN}
