@@ -12,7 +12,8 @@ from newsloom.session import work_dir
 from newsloom.sources.articles import parse_messages, read_topic_stream
 from newsloom.sources.sinks import land_json
 from newsloom.streaming import articles as ops
-from newsloom.streaming.sinks import run_bounded, write_files, write_latest
+from newsloom.streaming.results import Output, fan_out, read_changes, read_output, write_changes
+from newsloom.streaming.sinks import run_bounded, write_files
 
 _TOPICS = {}
 _FROM, _TO = "2024-01-20 00:00:00", "2024-02-10 23:59:59"
@@ -36,10 +37,10 @@ def _appended(spark, df, path=None):
     return spark.read.schema(df.schema).parquet(f"{path}/data")
 
 
-def _completed(spark, df):
+def _counted(spark, df, key):
     path = work_dir(spark, "stream")
-    run_bounded(write_latest(df, f"{path}/data", f"{path}/checkpoint", available_now=True))
-    return spark.read.schema(df.schema).parquet(f"{path}/data")
+    run_bounded(write_changes(df, [key], f"{path}/data", f"{path}/checkpoint", available_now=True))
+    return read_changes(spark, f"{path}/data", df.schema, [key])
 
 
 def stream_parse_json(spark, sf_dir):
@@ -68,11 +69,11 @@ def stream_filter_date(spark, sf_dir):
 
 
 def stream_count_by_location(spark, sf_dir):
-    return _completed(spark, ops.count_by_location(_stream(spark, sf_dir)))
+    return _counted(spark, ops.count_by_location(_stream(spark, sf_dir)), "location")
 
 
 def stream_count_by_section(spark, sf_dir):
-    return _completed(spark, ops.count_by_section(_stream(spark, sf_dir)))
+    return _counted(spark, ops.count_by_section(_stream(spark, sf_dir)), "section")
 
 
 def stream_explode_keywords(spark, sf_dir):
@@ -81,7 +82,33 @@ def stream_explode_keywords(spark, sf_dir):
 
 
 def stream_keyword_count(spark, sf_dir):
-    return _completed(spark, ops.keyword_count(_stream(spark, sf_dir)))
+    return _counted(spark, ops.keyword_count(_stream(spark, sf_dir)), "keyword")
+
+
+OUTPUTS = (
+    Output("sub_section", lambda batch: ops.filter_sub_section(batch, "SRC3").select("article_id")),
+    Output("sentiment", lambda batch: ops.filter_sentiment(batch, "Positive").select("article_id")),
+    Output("date", lambda batch: ops.filter_date(batch, _FROM, _TO).select("article_id")),
+    Output("location_counts", ops.count_by_location, ("location",)),
+    Output("section_counts", ops.count_by_section, ("section",)),
+    Output("keyword_counts", ops.keyword_count, ("keyword",)),
+)
+
+
+def stream_fan_out(spark, sf_dir):
+    """Six results from one read of the stream, four files a batch: result, key, and its number."""
+    path = work_dir(spark, "fan-out")
+    source = read_topic_stream(spark, "text", path=_topic(spark, sf_dir), maxFilesPerTrigger=4)
+    stream = parse_messages(source, SCORED_SCHEMA)
+    run_bounded(fan_out(stream, OUTPUTS, f"{path}/data", f"{path}/checkpoint", available_now=True))
+    shape, out = spark.createDataFrame([], stream.schema), None
+    for output in OUTPUTS:
+        rows = read_output(spark, f"{path}/data", output, output.make(shape).schema)
+        key = rows[rows.columns[0]].cast("string").alias("key")
+        n = rows[rows.columns[1]] if output.keys else F.lit(1).cast("long")
+        part = rows.select(F.lit(output.name).alias("result"), key, n.alias("n"))
+        out = part if out is None else out.unionByName(part)
+    return out
 
 
 def _windows(counts, label="event_type"):
@@ -196,6 +223,17 @@ QUERIES = {
 GROUP BY keyword"""
         ),
     ),
+    "stream_fan_out": (
+        stream_fan_out,
+        with_articles(
+            f"""SELECT 'sub_section' AS result, CAST(article_id AS VARCHAR) AS key, 1::BIGINT AS n FROM articles WHERE lower(sub_section) = 'src3'
+UNION ALL SELECT 'sentiment', CAST(article_id AS VARCHAR), 1 FROM articles WHERE lower(predicted_label) = 'positive'
+UNION ALL SELECT 'date', CAST(article_id AS VARCHAR), 1 FROM articles WHERE publish_time BETWEEN '{_FROM}' AND '{_TO}'
+UNION ALL SELECT 'location_counts', location, count(*) FROM articles GROUP BY location
+UNION ALL SELECT 'section_counts', section, count(*) FROM articles GROUP BY section
+UNION ALL SELECT 'keyword_counts', keyword, count(*) FROM (SELECT unnest(keywords) AS keyword FROM articles) GROUP BY keyword"""
+        ),
+    ),
     "stream_sentiment_windows": (
         stream_sentiment_windows,
         f"""SELECT s AS window_start, s + INTERVAL 10 MINUTE AS window_end, event_type, count(*) AS count

@@ -32,19 +32,6 @@ def write_files(df, path, checkpoint=None, trigger_interval=None, available_now=
     return writer.option("path", path).option("checkpointLocation", checkpoint or f"{path}/checkpoint").start()
 
 
-def write_latest(df, path, checkpoint, trigger_interval=None, available_now=False):
-    """A complete-mode result as files: each batch replaces the one before.
-
-    The file sink itself refuses complete mode.
-    """
-
-    def replace(batch, _):
-        batch.write.mode("overwrite").parquet(path)
-
-    writer = _writer(df, "complete", trigger_interval, available_now)
-    return writer.option("checkpointLocation", checkpoint).foreachBatch(replace).start()
-
-
 def run_bounded(query, timeout=None):
     """Wait for ``query`` up to ``timeout`` seconds and stop it if it still runs.
 
