@@ -17,8 +17,24 @@ TAG = (
 )
 TAG_MARK = "\x01"
 
-# Every named reference of HTML5 that ends in a semicolon, by name. "&amp;" is decoded last.
-ENTITIES = {name: text for name, text in html5.items() if name.endswith(";") and name not in ("amp;", "AMP;")}
+# The named references of HTML5: those with a semicolon, and the old ones that also stand without.
+ENTITIES = {name: text for name, text in html5.items() if name.endswith(";")}
+LEGACY = {name: text for name, text in html5.items() if not name.endswith(";")}
+_LEGACY_FIRST = "^(" + "|".join(sorted(LEGACY, key=lambda name: (-len(name), name))) + ")"  # the longest that fits
+
+# What may follow "&" as a reference: a number, or a name with or without its semicolon.
+_REFERENCE = r"^(#[0-9]+;?|#[xX][0-9a-fA-F]+;?|[^\t\n\f <&#;]{1,32};?)"
+
+
+def _windows(number):
+    """Numbers 128 to 159 mean the characters that Windows has there, where it has one."""
+    try:
+        return bytes([number]).decode("cp1252")
+    except UnicodeDecodeError:
+        return chr(number)
+
+
+_NUMBERS = {0: "\ufffd", 13: "\r"} | {number: _windows(number) for number in range(128, 160)}
 
 # Python's str.strip() and \s also cover the non-breaking space, hence (?U).
 _EDGE_SPACE = r"(?U)^\s+|\s+\z"
@@ -30,33 +46,57 @@ def strip_space(text):
 
 
 def decode_entities(text):
-    """Named and numeric character references, each decoded once. Unknown names stay as they are."""
-    # The one-element array binds the text to a name: it is built once, however often it is used.
-    return F.get(F.transform(F.array(text), _decoded), F.lit(0))
-
-
-def _decoded(text):
-    # "&#38;" is an ampersand too: keep it for the last step, or "&#38;lt;" would decode twice.
-    text = F.regexp_replace(text, r"&#(?:0*38|[xX]0*26);|&AMP;", "&amp;")
-    pattern = r"&(#(?:[0-9]{1,7}|[xX][0-9a-fA-F]{1,6});|[a-zA-Z][a-zA-Z0-9]*;)"
-    refs = F.filter(F.array_distinct(F.regexp_extract_all(text, F.lit(pattern), 1)), lambda ref: ref != "amp;")
-    names = F.from_json(F.lit(json.dumps(ENTITIES)), "map<string,string>")
-
-    def code_point(ref):
-        number = F.regexp_replace(ref, "[#;]", "")
-        is_hex = F.lower(number).startswith("x")
-        digits = F.when(is_hex, F.substring(number, 2, 6)).otherwise(
-            F.conv(F.when(is_hex, F.lit("0")).otherwise(number), 10, 16)
-        )
-        # A code point of up to 16 bits reads as UTF-16, a longer one as a surrogate pair via UTF-32.
-        return F.decode(F.unhex(F.lpad(digits, 8, "0")), "UTF-32")
-
-    def decode_one(acc, ref):
-        whole = F.concat(F.lit("&"), ref)
-        meant = F.when(ref.startswith("#"), code_point(ref)).otherwise(F.element_at(names, ref))
-        return F.replace(acc, whole, F.coalesce(meant, whole))
-
-    return F.replace(F.aggregate(refs, text, decode_one), F.lit("&amp;"), F.lit("&"))
+    """Character references as HTML5 reads them, each decoded once.
+
+    A number may lack its semicolon, and so may the old names, also before further letters ("&notit;" is "¬it;").
+    Numbers that no character has give U+FFFD or nothing; unknown names stay as they are.
+    """
+    # One-element arrays bind a value to a name: it is built once, however often it is used.
+    return F.get(F.transform(F.array(F.split(text, "&")), _decoded), F.lit(0))
+
+
+def _decoded(parts):
+    # every part but the first stood after an "&", and no reference holds one
+    rest = F.slice(parts, 2, F.greatest(F.size(parts) - 1, F.lit(0)))
+    heads = F.array_distinct(F.transform(rest, _head))
+    known = F.map_from_arrays(heads, F.transform(heads, _meaning))
+    joined = F.transform(
+        F.array(known),
+        lambda meanings: F.transform(rest, lambda part: F.concat(F.element_at(meanings, _head(part)), F.substr(part, F.length(_head(part)) + 1))),
+    )
+    return F.concat(F.get(parts, F.lit(0)), F.array_join(F.get(joined, F.lit(0)), ""))
+
+
+def _head(part):
+    return F.regexp_extract(part, _REFERENCE, 1)
+
+
+def _meaning(head):
+    """What "&" and ``head`` stand for."""
+    names, old = (F.from_json(F.lit(json.dumps(x)), "map<string,string>") for x in (ENTITIES, LEGACY))
+    first = F.regexp_extract(head, _LEGACY_FIRST, 1)
+    named = F.when(head.endswith(";"), F.element_at(names, head))
+    cut = F.when(first != "", F.concat(F.element_at(old, first), F.substr(head, F.length(first) + 1)))
+    return F.when(head.startswith("#"), _character(head)).otherwise(F.coalesce(named, cut, F.concat(F.lit("&"), head)))
+
+
+def _character(head):
+    digits = F.regexp_replace(head, "^#[xX]?0*|;", "")
+    is_hex = F.lower(head).startswith("#x")
+    # more digits than the last character has
+    beyond = F.length(digits) > F.when(is_hex, 6).otherwise(7)
+    short = F.when(beyond, "0").otherwise(digits)
+    code = F.coalesce(F.conv(short, 16, 10), F.lit("0"))
+    number = F.when(is_hex, code).otherwise(F.when(short == "", "0").otherwise(F.regexp_replace(short, "[a-fA-F]", "0"))).cast("int")
+    table = F.from_json(F.lit(json.dumps({str(k): v for k, v in _NUMBERS.items()})), "map<string,string>")
+    within = lambda low, high: number.between(low, high)
+    none = within(1, 8) | (number == 11) | within(14, 31) | (number == 127) | within(0xFDD0, 0xFDEF) | (number.bitwiseAND(0xFFFE) == 0xFFFE)
+    return (
+        F.when(beyond | within(0xD800, 0xDFFF) | (number > 0x10FFFF), "\ufffd")
+        .when((number == 0) | (number == 13) | within(128, 159), F.element_at(table, number.cast("string")))
+        .when(none, "")
+        .otherwise(F.decode(F.unhex(F.lpad(F.hex(number), 8, "0")), "UTF-32"))
+    )
 
 
 def html_text(html):

@@ -1,8 +1,10 @@
+import html as python_html
+
 from pyspark.ml.feature import StopWordsRemover
 from pyspark.sql import functions as F
 import pytest
 
-from newsloom.functions.markup import html_text, location_of
+from newsloom.functions.markup import decode_entities, html_text, location_of
 from newsloom.functions.valence import Modifiers
 from newsloom.functions.words import ENGLISH_STOP_WORDS, STOP_WORDS, letters_only, lower_trim, parse_time, title_words
 from newsloom.operators.features import encode_label, tokenize
@@ -131,3 +133,15 @@ def test_label_ties_go_by_name(spark):
     df = spark.createDataFrame([("b",), ("a",), ("c",), ("c",)], "s string")
     indexed = {r.s: r.i for r in encode_label(df, "s", "i").collect()}
     assert indexed == {"c": 0.0, "a": 1.0, "b": 2.0}
+
+
+def test_references_are_read_as_python_reads_them(spark):
+    cases = [
+        "a &copy 2020", "&eacute;&eacute &lt&gt;&amp;lt; &ampamp; &AMP &amp;amp;", "&#150;&#x96;&#0;&#13;&#x80;&#129;", "&notit; &notin; &not; &no",
+        "&#1114112; &#x110000; &#99999999999999; &#xfffffffffff; &#55296;", "&#1;&#11;&#127;&#64976;&#65534;&#x1ffff;|", "&#65 &#x41g &#065;&#x0041;",
+        "& && &; &# &#; &#x; &x &unknown; &CounterClockwiseContourIntegral; &NotEqualTilde;", "&" + "a" * 40 + ";", "&#128512;&#x1F600", "&Aacutes &frac123",
+        "no reference", "", "&", "a&b=c&copy=1&reg", "&lt\t&gt\n&quot", "&nbsp;&nbsp x", None,
+    ]
+    rows = spark.createDataFrame([(i, t) for i, t in enumerate(cases)], "i int, t string")
+    found = {r.i: r.t for r in rows.select("i", decode_entities(F.col("t")).alias("t")).collect()}
+    assert found == {i: None if t is None else python_html.unescape(t) for i, t in enumerate(cases)}
