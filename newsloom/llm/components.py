@@ -5,23 +5,30 @@ The edges of a hub stay where they are and are told its least neighbour; no task
 
 from pyspark.sql import functions as F
 
-from newsloom.llm.work import hub_join, written
+from newsloom.llm.work import hub_join, hub_size, written
 
 
 def _written(df, name):
     return written(df, name)
 
 
+def _told_least(rows, least, total):
+    """Each (u, v) of ``rows`` as (v, least of u); a hub's rows stay where they are, see ``hub_join``."""
+    least = written(least, "least")
+    heavy = not least.filter(F.col("size") > hub_size(total)).isEmpty()
+    joined = hub_join(rows, least, "u", "size", total) if heavy else rows.join(least, "u")
+    return joined.select(F.col("v").alias("u"), F.col("m").alias("v")), least
+
+
 def _large_star(edges, total):
     both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
     least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"), F.count("*").alias("size"))
-    return hub_join(both.filter("v > u"), least, "u", "size", 2 * total).select(F.col("v").alias("u"), F.col("m").alias("v"))
+    return _told_least(both.filter("v > u"), least, 2 * total)[0]
 
 
 def _small_star(edges, total):
     down = edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
-    least = down.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("size"))
-    moved = hub_join(down, least, "u", "size", total).select(F.col("v").alias("u"), F.col("m").alias("v"))
+    moved, least = _told_least(down, down.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("size")), total)
     return moved.unionByName(least.select("u", F.col("m").alias("v")))
 
 
@@ -38,7 +45,9 @@ def components(edges, left="u", right="v"):
         if state == seen or not state[0]:
             break
         seen = state
-        edges = _written(_small_star(_large_star(edges, state[0]), state[0]).filter("u != v").distinct(), "edges")
+        # written between the two stars, or the plan of the first would stand in the second many times
+        large = _written(_large_star(edges, state[0]), "large")
+        edges = _written(_small_star(large, state[0]).filter("u != v").distinct(), "edges")
     return edges.select(F.col("u").alias("node"), F.col("v").alias("label")).unionByName(
         edges.select(F.col("v").alias("node"), F.col("v").alias("label")).distinct()
     )

@@ -7,10 +7,15 @@ members of a universal family (multiply, add, keep the high bits) make the signa
 
 Only what hangs together is asked for, so a bucket of many near-copies needs no look at all its pairs:
 
-1. every member of a bucket is compared with the bucket's first node, and components are formed;
-2. a bucket that lies in one component is done. In the others, pairs of different components are compared:
-   small buckets give the pairs, large ones are dealt into blocks, by component where one fills a block,
-   and pairs of blocks of one component are left out.
+1. in every bucket the pairs of likeliest signatures that hold it together, a spanning forest, are compared,
+   and components are formed; large buckets are dealt into parts that all hold the first node;
+2. in buckets of several components, each node outside the part's largest one tries its ``TRIED`` likeliest
+   partners of other components;
+3. in buckets that still have several components, all pairs of different components are compared where they
+   stand, likeliest first, until they hang together. Large ones are dealt into blocks, by component where
+   one fills a block, and pairs of blocks of one component are left out.
+
+Each step gives no more rows than a bucket has members (times ``TRIED``), and the last leaves out nothing.
 
 Comparing is by signature first (low bytes of the minima; ``DEVIATIONS`` standard deviations are allowed
 below the threshold), then by the full sets, made again from whole texts.
@@ -31,8 +36,8 @@ PERCENT = 80
 WORDS = 2
 BANDS, ROWS = 32, 4
 DEVIATIONS = 5
-SMALL = 48  # members up to which a bucket gives pairs
-BLOCK = 512  # members of a block of a larger one
+TRIED = 8
+BLOCK = 256  # members of a part or block of a bucket
 SENT = 500_000  # keys up to which a list of documents is broadcast (8 bytes each)
 
 _STEP = np.uint64(0x9E3779B97F4A7C15)
@@ -161,22 +166,6 @@ def _fits(n_a, n_b, percent):
     return 100 * np.minimum(n_a, n_b) >= percent * np.maximum(n_a, n_b)
 
 
-def _likely(least):
-    """Pairs whose signatures agree in enough places."""
-
-    def run(batches):
-        for batch in batches:
-            at = {name: i for i, name in enumerate(batch.schema.names)}
-            left, right = (
-                np.frombuffer(b"".join(batch.column(at[name]).to_pylist()), np.uint8).reshape(len(batch), -1)
-                for name in ("signature_a", "signature_b")
-            )
-            kept = (left == right).sum(1) >= least if len(batch) else np.zeros(0, bool)
-            yield batch.select(["a", "b"]).filter(pa.array(kept, pa.bool_()))
-
-    return run
-
-
 def _linked(percent):
     """Pairs whose full sets are similar enough, in whole numbers."""
 
@@ -203,57 +192,159 @@ def _with_sides(pairs, sides, total):
 
 
 class _Comparer:
-    """Compares pairs of nodes of one corpus; counts say when there is nothing to do."""
+    """Compares pairs of nodes of one corpus by their full sets."""
 
     def __init__(self, docs, nodes, key, text, percent, words):
         self.docs, self.nodes, self.key, self.text, self.percent, self.words = docs, nodes, key, text, percent, words
 
-    def likely(self, pairs, least):
-        """Of a written table of pairs those whose sizes and signatures allow a link."""
-        sides = self.nodes.select("node", "n", "signature")
-        near = _with_sides(pairs, sides, pairs.count()).filter(
-            100 * F.least("n_a", "n_b") >= self.percent * F.greatest("n_a", "n_b")
-        )
-        return written(near.select("a", "b", "signature_a", "signature_b").mapInArrow(_likely(least), "a long, b long"), "likely")
+    def sets(self, wanted):
+        """node and shingles of a table of nodes."""
+        nodes = written(self.nodes.select("node", "key", "h1", "h2").join(wanted.distinct(), "node"), "wanted")
+        return written(_sets(self.docs, nodes, self.key, self.text, self.words), "sets")
 
     def linked(self, pairs):
         """Of a written table of pairs those whose sets are similar enough."""
-        wanted = pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node"))).distinct()
-        nodes = written(self.nodes.select("node", "key", "h1", "h2").join(wanted, "node"), "wanted")
-        sets = written(_sets(self.docs, nodes, self.key, self.text, self.words), "sets")
+        sets = self.sets(pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node"))))
         found = _with_sides(pairs, sets, pairs.count()).select("a", "b", "shingles_a", "shingles_b")
         return written(found.mapInArrow(_linked(self.percent), "a long, b long"), "linked")
 
 
-def _check_blocks(percent, least):
-    """Of one pair of blocks: the pairs of different components whose sizes and signatures allow a link."""
+class _Group:
+    """Nodes of one part of a bucket, with the matches of their signatures where a link is possible."""
+
+    def __init__(self, node, component, n, signature, percent, least):
+        order = np.argsort(node)
+        self.node, self.component, n, low = (x[order] for x in (node, component, n, signature))
+        matches = np.stack([(low == row).sum(1) for row in low]).astype(np.int32)
+        likely = (matches >= least) & _fits(n[:, None], n[None], percent)
+        self.matches = np.where(likely, matches, -1)  # -1: no link
+        self.matches[self.component[:, None] == self.component[None]] = -1
+
+    def forest(self):
+        """(i, j): the likeliest pairs that tie all components together that can be tied."""
+        m = len(self.node)
+        weight = self.matches.copy()
+        weight[self.component[:, None] == self.component[None]] = 1 << 20  # tied already
+        best, of, left, out = np.full(m, -1), np.full(m, -1), np.ones(m, bool), []
+        for _ in range(m):
+            k = int(np.argmax(np.where(left, best, -2)))
+            left[k] = False
+            if 0 <= best[k] < 1 << 20:
+                out.append((of[k], k))
+            closer = left & (weight[k] > best)
+            best[closer], of[closer] = weight[k][closer], k
+        return out
+
+    def tries(self, count):
+        """(i, j): the likeliest partners of the nodes outside the largest component."""
+        names, at, sizes = np.unique(self.component, return_inverse=True, return_counts=True)
+        out = []
+        for i in np.flatnonzero(at != np.argmax(sizes)).tolist():
+            ranked = np.argsort(-self.matches[i], kind="stable")[:count]
+            out.extend((i, j) for j in ranked.tolist() if self.matches[i, j] >= 0)
+        return out
+
+
+def _parts(size, salt):
+    """The part of its bucket that a node is in; the first node of a bucket is in all."""
+    parts = F.ceil(F.col(size) / BLOCK).cast("long")
+    own = F.array(F.pmod(F.xxhash64("node", F.lit(salt)), parts))
+    return F.explode(F.when(F.col("node") == F.col("head"), F.sequence(F.lit(0).cast("long"), parts - 1)).otherwise(own))
+
+
+def _grouped(rows, *by):
+    fields = [c for c in rows.columns if c not in by]
+    return rows.groupBy(*by).agg(F.collect_list(F.struct(*fields)).alias("m")).select("m")
+
+
+def _chosen(choose, percent, least):
+    """Pairs that ``choose`` picks from each list of nodes; lists of two are compared at once."""
+
+    def run(batches):
+        for batch in batches:
+            lists = batch.column(0)
+            bounds = lists.offsets.to_numpy()
+            flat = lists.flatten()
+            node, component, n = (flat.field(c).to_numpy() for c in ("node", "component", "n"))
+            signature = np.frombuffer(b"".join(flat.field("signature").to_pylist()), np.uint8).reshape(len(node), -1)
+            bounds = bounds - bounds[0]
+            sizes = np.diff(bounds)
+            i = bounds[:-1][sizes == 2]
+            j = i + 1
+            hit = (signature[i] == signature[j]).sum(1) >= least
+            hit &= _fits(n[i], n[j], percent) & (component[i] != component[j])
+            out = [np.stack((node[i[hit]], node[j[hit]]), 1)]
+            for k in np.flatnonzero(sizes > 2).tolist():
+                part = slice(bounds[k], bounds[k + 1])
+                group = _Group(node[part], component[part], n[part], signature[part], percent, least)
+                found = choose(group)
+                if found:
+                    out.append(group.node[np.array(found)])
+            both = np.sort(np.concatenate(out), 1)
+            yield pa.RecordBatch.from_pydict({"a": both[:, 0], "b": both[:, 1]})
+
+    return run
+
+
+def _needed(percent, least):
+    """Nodes that have a likely partner of another component in their pair of blocks."""
+
+    def run(batches):
+        for batch in batches:
+            out = []
+            for cell in batch.column(0):
+                rows = cell.values
+                group = _Group(
+                    *(rows.field(c).to_numpy() for c in ("node", "component", "n")),
+                    np.frombuffer(b"".join(rows.field("signature").to_pylist()), np.uint8).reshape(len(rows), -1),
+                    percent,
+                    least,
+                )
+                out.append(group.node[(group.matches >= 0).any(1)])
+            yield pa.RecordBatch.from_pydict({"node": np.unique(np.concatenate([np.zeros(0, np.int64), *out]))})
+
+    return run
+
+
+def _compared(percent, least):
+    """Links of one pair of blocks that tie together what hangs together there, by full sets."""
 
     def run(group: pd.DataFrame) -> pd.DataFrame:
-        out = []
-        left, right = (group[group["side"] == s] for s in (0, 1))
-        if not len(right):  # a block with itself
-            right = left
-        low = [np.frombuffer(b"".join(x["signature"]), np.uint8).reshape(len(x), -1) for x in (left, right)]
-        node, component, n = ([x[c].to_numpy() for x in (left, right)] for c in ("node", "component", "n"))
-        for i in range(len(left)):
-            may = (component[1] != component[0][i]) & _fits(n[1], n[0][i], percent)
-            may = np.flatnonzero(may & (node[1] != node[0][i]))
-            hit = may[(low[1][may] == low[0][i]).sum(1) >= least]
-            out.append(np.stack((np.full(len(hit), node[0][i]), node[1][hit]), 1))
-        both = np.sort(np.concatenate(out or [np.zeros((0, 2), np.int64)]), 1)
-        return pd.DataFrame(np.unique(both, axis=0), columns=["a", "b"])
+        low = np.frombuffer(b"".join(group["signature"]), np.uint8).reshape(len(group), -1)
+        columns = [group[c].to_numpy() for c in ("node", "component", "n")]
+        order = np.argsort(columns[0])
+        sets = [np.frombuffer(group["shingles"].iloc[k], np.uint64) for k in order]
+        part = _Group(*columns, low, percent, least)
+        i, j = np.nonzero(np.triu(part.matches >= 0))
+        root, out = dict(zip(part.component.tolist(), part.component.tolist(), strict=True)), []
+
+        def top(k):
+            while root[k] != k:
+                root[k] = root[root[k]]
+                k = root[k]
+            return k
+
+        for k in np.argsort(-part.matches[i, j], kind="stable").tolist():
+            x, y = i[k], j[k]
+            one, two = top(part.component[x]), top(part.component[y])
+            if one != two:
+                both = len(np.intersect1d(sets[x], sets[y], assume_unique=True))
+                if 100 * both >= percent * (len(sets[x]) + len(sets[y]) - both):
+                    root[max(one, two)] = min(one, two)
+                    out.append((part.node[x], part.node[y]))
+        return pd.DataFrame(out, columns=["a", "b"], dtype=np.int64)
 
     return run
 
 
-def _blocks(large, signatures, percent, least):
-    """Likely pairs of different components in large buckets (bucket, node, component), block by block."""
-    cells = large.groupBy("bucket", "component").agg(F.count("*").alias("size"))
+def _dealt(apart):
+    """bucket, x, y, node, component: the members (bucket, node, component) dealt to the pairs of blocks that they are in."""
+    cells = apart.groupBy("bucket", "component").agg(F.count("*").alias("size"))
     mixed = cells.filter(F.col("size") <= BLOCK).groupBy("bucket").agg(F.sum("size").alias("mixed"))
     parts = lambda size: F.ceil(F.col(size) / BLOCK).cast("long")
     full = F.col("size") > BLOCK
     placed = written(
-        large.join(cells, ["bucket", "component"])
+        apart.join(cells, ["bucket", "component"])
         .join(mixed, "bucket", "left")
         .select(
             "bucket",
@@ -267,37 +358,52 @@ def _blocks(large, signatures, percent, least):
     blocks = placed.select("bucket", F.struct("of", "part").alias("block")).distinct()
     x, y = blocks.withColumnRenamed("block", "x"), blocks.withColumnRenamed("block", "y")
     pairs = x.join(y, "bucket").filter("x <= y AND (x.of <> y.of OR x.of = -1)")
-    rows = placed.join(signatures, "node").withColumn("block", F.struct("of", "part")).select("bucket", "block", "node", "component", "n", "signature")
-    dealt = rows.join(pairs.withColumn("block", F.col("x")), ["bucket", "block"]).withColumn("side", F.lit(0))
-    dealt = dealt.unionByName(
-        rows.join(pairs.filter("x <> y").withColumn("block", F.col("y")), ["bucket", "block"]).withColumn("side", F.lit(1))
-    )
-    return dealt.groupBy("bucket", "x", "y").applyInPandas(_check_blocks(percent, least), "a long, b long")
-
-
-def _links(comparer, members, least):
-    """Links that make the components of the whole: to the first of each bucket, then between components."""
-    starred = written(members.filter("node <> head").select(F.col("head").alias("a"), F.col("node").alias("b")).distinct(), "starred")
-    first = comparer.linked(comparer.likely(starred, least))
-    labels = components(first, "a", "b")
-    more = members.filter("size > 2").join(labels, "node", "left").withColumn("component", F.coalesce("label", "node"))
-    apart = more.groupBy("bucket").agg(F.min("component").alias("x"), F.max("component").alias("y")).filter("x <> y").select("bucket")
-    more = written(more.join(apart, "bucket", "left_semi").select("bucket", "node", "size", "head", "component"), "apart")
-    listed = more.filter(F.col("size") <= SMALL).groupBy("bucket").agg(
-        F.array_sort(F.collect_list(F.struct("node", "component"))).alias("m")
-    )
-    # the first member has been compared with all
-    later = lambda x, k: F.filter(F.slice("m", k + 2, F.size("m")), lambda y: y["component"] != x["component"])
-    made = F.flatten(
-        F.transform("m", lambda x, k: F.when(k > 0, F.transform(later(x, k), lambda y: F.struct(x["node"].alias("a"), y["node"].alias("b")))).otherwise(F.array()))
-    )
-    small = written(listed.select(F.explode(made).alias("p")).select("p.a", "p.b").distinct(), "between")
-    near = comparer.likely(small, least)
-    large = more.filter(F.col("size") > SMALL).select("bucket", "node", "component")
-    if not large.isEmpty():
-        found = _blocks(large, comparer.nodes.select("node", "n", "signature"), comparer.percent, least)
-        near = written(near.unionByName(found).distinct(), "likely")
-    return first if near.isEmpty() else first.unionByName(comparer.linked(near))
+    sides = F.array_distinct(F.array("x", "y"))
+    pairs = pairs.select("bucket", "x", "y", F.explode(sides).alias("block"))
+    return placed.withColumn("block", F.struct("of", "part")).join(pairs, ["bucket", "block"]).select("bucket", "x", "y", "node", "component")
+
+
+def _merged(labels, found):
+    """(node, label) of all linked nodes after more links; only labels that the new links tie are looked at."""
+    if labels is None:
+        return written(components(found, "a", "b"), "labels")
+    of = lambda side: labels.select(F.col("node").alias(side), F.col("label").alias(f"label_{side}"))
+    tied = found.join(of("a"), "a", "left").join(of("b"), "b", "left")
+    tied = tied.select(F.coalesce("label_a", "a").alias("u"), F.coalesce("label_b", "b").alias("v"))
+    moved = written(components(tied), "moved")
+    kept = labels.join(moved.select(F.col("node").alias("label"), F.col("label").alias("to")), "label", "left")
+    kept = kept.select("node", F.coalesce("to", "label").alias("label"))
+    return written(kept.unionByName(moved.join(labels, "node", "left_anti")), "labels")
+
+
+def _apart(members, labels):
+    """Members of buckets that lie in several components; pairs of two are settled by the first step."""
+    named = members.filter("size > 2").join(labels, "node", "left").withColumn("component", F.coalesce("label", "node")).drop("label")
+    several = named.groupBy("bucket").agg(F.min("component").alias("x"), F.max("component").alias("y")).filter("x <> y").select("bucket")
+    return written(named.join(several, "bucket", "left_semi"), "apart")
+
+
+def _labels(comparer, members, least):
+    """(node, label) of the components; nodes without a link are left out."""
+    percent, signs = comparer.percent, comparer.nodes.select("node", "n", "signature")
+    labels, apart = None, members.withColumn("component", F.col("node"))
+    for salt, choose in enumerate((lambda group: group.forest(), lambda group: group.tries(TRIED))):
+        rows = apart.withColumn("part", _parts("size", salt)).select("bucket", "part", "node", "component").join(signs, "node")
+        lists = _grouped(rows, "bucket", "part")
+        pairs = written(lists.mapInArrow(_chosen(choose, percent, least), "a long, b long").distinct(), "pairs")
+        if pairs.isEmpty() and labels is not None:
+            break
+        labels = _merged(labels, comparer.linked(pairs))
+        apart = _apart(members, labels)
+        if apart.isEmpty():
+            return labels
+    dealt = written(_dealt(apart.select("bucket", "node", "component")), "dealt")
+    needed = written(_grouped(dealt.join(signs, "node"), "bucket", "x", "y").mapInArrow(_needed(percent, least), "node long").distinct(), "needed")
+    if needed.isEmpty():
+        return labels
+    sets = comparer.sets(needed).join(signs, "node")
+    last = dealt.join(sets, "node").groupBy("bucket", "x", "y").applyInPandas(_compared(percent, least), "a long, b long")
+    return _merged(labels, written(last, "last"))
 
 
 def near_duplicates(docs, key="doc_id", text="text", percent=PERCENT, words=WORDS, bands=BANDS, rows=ROWS, deviations=DEVIATIONS):
@@ -322,8 +428,7 @@ def near_duplicates(docs, key="doc_id", text="text", percent=PERCENT, words=WORD
     heads = written(spread.groupBy("bucket").agg(F.count("*").alias("size"), F.min("node").alias("head")).filter("size > 1"), "heads")
     members = written(hub_join(spread, heads, "bucket", "size", total * bands), "members")
     comparer = _Comparer(docs, nodes, key, text, percent, words)
-    links = _links(comparer, members, least_matches(bands * rows, percent, deviations))
-    labels = components(links, "a", "b")
+    labels = _labels(comparer, members, least_matches(bands * rows, percent, deviations))
     named = written(nodes.select("node", "h1", "h2", "key", "copies").join(labels, "node"), "named")
     of_label = named.groupBy("label").agg(F.min("key").alias("component_id"), F.count("*").alias("size"))
     named = hub_join(named.select("label", "h1", "h2", "copies"), of_label, "label", "size", total).select("h1", "h2", "copies", "component_id")

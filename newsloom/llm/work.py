@@ -30,13 +30,18 @@ def written(df, name, **options):
     return df.sparkSession.read.parquet(path)
 
 
+def hub_size(total):
+    """Rows of a key from which on it is a hub among ``total`` rows; there are ``HUBS`` hubs at most."""
+    return max(HUB, total // HUBS)
+
+
 def hub_join(rows, one, on, size, total):
     """``rows`` joined with ``one``, which has one row a key and in ``size`` at least the number of its rows.
 
-    Keys of more than ``total / HUBS`` rows, so ``HUBS`` at most, are broadcast and their rows stay where
-    they are; only other keys meet in a task. ``total`` is the sum of ``size`` over all keys, or less.
+    Keys of more than ``hub_size`` rows, ``HUBS`` at most, are broadcast and their rows stay where they are;
+    only other keys meet in a task. ``total`` is the sum of ``size`` over all keys, or less.
     """
-    cut = max(HUB, total // HUBS)
+    cut = hub_size(total)
     heavy, light = one.filter(F.col(size) > cut), one.filter(F.col(size) <= cut)
     rest = rows.join(F.broadcast(heavy.select(on)), on, "left_anti").join(light, on)
     return rows.join(F.broadcast(heavy), on).unionByName(rest)

@@ -138,10 +138,10 @@ def components_by_force(texts, words, percent):
     return [(r[0], len(s), least[top(k)] if r[0] is not None else None, r[0] is None or least[top(k)] == r[0]) for k, (r, s) in enumerate(zip(texts, sets, strict=True))]
 
 
-@pytest.mark.parametrize("small, block", [(48, 512), (4, 8)])  # the second deals most buckets into blocks
-def test_near_duplicates_equal_brute_force(docs, texts, monkeypatch, small, block):
-    monkeypatch.setattr(near_dup, "SMALL", small)
+@pytest.mark.parametrize("block, tried", [(256, 8), (6, 0)])  # the second leaves most of the work to pairs of blocks
+def test_near_duplicates_equal_brute_force(docs, texts, monkeypatch, block, tried):
     monkeypatch.setattr(near_dup, "BLOCK", block)
+    monkeypatch.setattr(near_dup, "TRIED", tried)
     same_rows(near_dup.near_duplicates(docs).collect(), components_by_force(texts, 2, 80))
 
 
