@@ -249,13 +249,14 @@ def keep_one(docs, key="doc_id", text="text", **options):
     first = found.groupBy("label").agg(F.min("key").alias("key")).join(rows, ["label", "key"]).groupBy("label", "key").agg(F.min("t").alias("t"))
     repeated = _written(rows.filter("n > 1").join(first, ["label", "key", "t"], "left_semi").select("key", "t"), "repeated")
     gone = rows.join(first, ["label", "key", "t"], "left_anti").select("key", "t").unionByName(repeated)
-    # names that no column of docs has
-    named = docs.withColumns({"_key": F.col(key).cast("long"), "_t": _text_name(text)})
-    under = lambda x: x.withColumnsRenamed({"key": "_key", "t": "_t"})
-    stay = named.join(under(gone), ["_key", "_t"], "left_anti").select(docs.columns)
+    # the columns of docs are numbered, so that none has an inner name
+    names = {c: f"c_{i}" for i, c in enumerate(docs.columns)}
+    named = docs.select(_key(key), _text_name(text), *(F.col(c).alias(n) for c, n in names.items()))
+    back = [F.col(n).alias(c) for c, n in names.items()]
+    stay = named.join(gone, ["key", "t"], "left_anti").select(back)
     n = repeated.count()
     if not n:
         return stay
     repeated = F.broadcast(repeated) if n <= SENT else repeated
-    one = named.join(under(repeated), ["_key", "_t"], "left_semi").dropDuplicates(["_key", "_t"])
-    return stay.unionByName(one.select(docs.columns))
+    one = named.join(repeated, ["key", "t"], "left_semi").dropDuplicates(["key", "t"])
+    return stay.unionByName(one.select(back))

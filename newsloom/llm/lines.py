@@ -1,20 +1,22 @@
 """Line dedup: a segment-partition edit join in DataFrame operations.
 
 Lines are compared without the white space around them; blank lines are never compared. A line is
-dropped where the same line, or one at most ``EDITS`` edits away, stands earlier (by key, then place).
-
-* Equal lines meet by 128 bits of hash; the first one stands for them.
-* First lines of at least ``LEAST`` characters are cut into EDITS + 1 segments: two lines within EDITS
-  edits agree in a segment, up to a small shift. Each line enters its segments, under its length, in an
-  index and probes it with the substrings that segments of its length or less can have come to.
-* Lines that meet are compared by banded edit distance on their texts.
+dropped where the same line, or one near it, stands earlier (by key, then place).
+
+* Equal lines meet by 127 bits of hash; the first one stands for them.
+* How many edits count as near follows from the shorter line: one from ``FROM[0]`` characters on, two from
+  ``FROM[1]``. A shorter line is near nothing but itself, since an edit there is another word.
+* First lines are cut into segments, one more than their edits: two lines within the edits agree in a
+  segment, up to a small shift. Each line enters its segments, under its length, in an index and probes it
+  with the substrings that segments of its length or less can have come to.
+* Lines that meet are compared by edit distance in a band of diagonals, all cells of a column in one word.
 """
 
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-EDITS = 2
-LEAST = 24
+FROM = (8, 24)
+EDITS = len(FROM)
 
 
 def bound(value, use):
@@ -22,14 +24,9 @@ def bound(value, use):
     return F.get(F.transform(F.array(value), use), 0)
 
 
-def _start(n, i, parts):
-    """Where segment i (from 0) of a line of n characters begins; the later segments are the longer ones."""
-    short = parts - n % parts
-    return F.floor(n / parts) * i + F.greatest(F.lit(0), i - short)
-
-
-def _size(n, i, parts):
-    return F.floor(n / parts) + F.when(i >= parts - n % parts, 1).otherwise(0)
+def allowed(n):
+    """The edits within which a line of n characters is near a line of as many or more."""
+    return sum((F.when(n >= least, 1).otherwise(0) for least in FROM[1:]), F.when(n >= FROM[0], 1).otherwise(0))
 
 
 def shifts(edits):
@@ -42,18 +39,80 @@ def shifts(edits):
     return out
 
 
-def _keys(line, n, edits):
-    """(key, own) of the substrings of a line that another's segments may equal; its own segments are among them."""
-    parts = edits + 1
+#: (segment, shift) of all substrings that any line probes
+_PROBES = sorted({(i, shift) for edits in range(1, EDITS + 1) for _, i, shift in shifts(edits)})
+
+
+def _entries(lines):
+    """key and tag of the substrings of lines (h, line, n) that another's segments may equal.
+
+    A tag is twice the line's h, and one more where the substring is a segment of the line itself.
+    """
+    # Steps of few expressions each: one large one would be too long a method to be compiled.
+    cut = (
+        lines.select("h", "line", "n", F.explode(F.array(*map(F.lit, range(EDITS + 1)))).alias("less"))
+        .withColumn("m", F.col("n") - F.col("less"))
+        .withColumn("e", allowed(F.col("m")))
+        .filter("e > 0 AND less <= e")
+        .withColumn("size", F.expr("int(m div (e + 1))"))
+        .withColumn("plain", F.expr("e + 1 - m % (e + 1)"))  # the first segments, of that size; the others are one longer
+    )
     keys = []
-    for less, i, shift in shifts(edits):
-        m = n - less
-        start = (_start(m, F.lit(i), parts) + shift).cast("int")
-        size = _size(m, F.lit(i), parts).cast("int")
-        key = F.xxhash64(m, F.lit(i), F.substring(line, start + 1, size))
-        inside = (start >= 0) & (start + size <= n)
-        keys.append(F.when(inside, F.struct(key.alias("key"), F.lit(less == 0 and shift == 0).alias("own"))))
-    return F.array_compact(F.array(*keys))
+    for i, shift in _PROBES:
+        start = f"size * {i} + greatest(0, {i} - plain) + {shift}"
+        size = f"size + int({i} >= plain)"
+        inside = f"{start} >= 0 AND {start} + {size} <= n" if shift else "true"
+        low, high = f"greatest(-{i}, less - e + {i})", f"least({i}, less + e - {i})"
+        keys.append(F.expr(f"CASE WHEN {i} <= e AND {shift} BETWEEN {low} AND {high} AND {inside} THEN xxhash64(m, {i}, substring(line, {start} + 1, {size})) END"))
+    own = [k for k, (_, shift) in enumerate(_PROBES) if shift == 0]
+    tag = F.shiftleft("h", 1).bitwiseOR(((F.col("less") == 0) & F.col("at").isin(own)).cast("long"))
+    found = cut.select("h", "less", F.posexplode(F.array(*keys)).alias("at", "key"))
+    return found.filter("key IS NOT NULL").select("key", tag.alias("tag"))
+
+
+def _within(a, b, n_a, n_b):
+    """Whether the characters b are at most ``allowed(n_a)`` edits from a; n_b is n_a to n_a + EDITS.
+
+    Bit t of a word is the row that lies WIDTH - 1 - t above the lowest row of the band, which goes down one
+    row a column. vp and vn hold where a cell is one more or one less than the cell above it; the distance
+    is followed along the band's lower edge, then along the last row.
+    """
+    width, low = 2 * EDITS + 2, 2 * EDITS + 1
+    full = (1 << width) - 1
+    invert = lambda x: F.lit(full).bitwiseXOR(x.bitwiseAND(full))
+
+    def column(state, j):
+        char = F.get(b, j)
+        equal = sum((F.when(F.get(a, j + (EDITS - low + t)) == char, 1 << t).otherwise(0) for t in range(1, width)), F.when(F.get(a, j + (EDITS - low)) == char, 1).otherwise(0))
+
+        def moved(x):
+            vp, vn = state["vp"], state["vn"]
+            d0 = (x.bitwiseAND(vp) + vp).bitwiseXOR(vp).bitwiseOR(x).bitwiseOR(vn).bitwiseAND(full)
+
+            def moved_on(d):
+                sides = F.struct(vn.bitwiseOR(invert(d.bitwiseOR(vp))).alias("hp"), d.bitwiseAND(vp).alias("hn"))
+
+                def done(h):
+                    down = F.shiftrightunsigned(d, 1)
+                    # the last row stands one bit higher in each column after it was reached
+                    bit = F.call_function("shiftleft", F.lit(1), (F.lit(low - 1) - (j - (n_a - EDITS))).cast("int"))
+                    edge = F.when(d.bitwiseAND(1 << low) == 0, 1).otherwise(0)
+                    row = F.when(h["hp"].bitwiseAND(bit) != 0, 1).when(h["hn"].bitwiseAND(bit) != 0, -1).otherwise(0)
+                    return F.struct(
+                        h["hn"].bitwiseOR(invert(down.bitwiseOR(h["hp"]))).alias("vp"),
+                        down.bitwiseAND(h["hp"]).alias("vn"),
+                        (state["distance"] + F.when(j < n_a - EDITS, edge).otherwise(row)).alias("distance"),
+                    )
+
+                return bound(sides, done)
+
+            return bound(d0, moved_on)
+
+        # the distance falls by one a column at most, in at most 2 * EDITS columns
+        return F.when(state["distance"] > 3 * EDITS, state).otherwise(bound(equal, moved))
+
+    start = F.struct(F.lit(full & ~((1 << (low - EDITS)) - 1)).alias("vp"), F.lit(0).alias("vn"), F.lit(EDITS).alias("distance"))
+    return F.aggregate(F.sequence(F.lit(0), n_b - 1), start, column, lambda state: state["distance"]) <= allowed(n_a)
 
 
 NO_KEY = -(1 << 63)  # stands for a null key, so that such rows come first
@@ -74,21 +133,26 @@ def _compared_form(line):
     return F.btrim(line, F.lit(" \t\r\f\v"))
 
 
+def _line_name(line):
+    """63 bits, so that one is left for a mark."""
+    return F.shiftrightunsigned(F.xxhash64(line), 1)
+
+
 def _first_lines(rows):
     """h (hash), k, t and pos of the first of each set of equal lines; equality by two hashes."""
     lines = F.transform(_lines(), lambda x, i: F.struct(_compared_form(x).alias("line"), i.alias("pos")))
     return (
         rows.select("k", "t", F.explode(lines).alias("x"))
         .filter("x.line != ''")
-        .select(F.xxhash64("x.line").alias("h"), F.xxhash64(F.lit(1), "x.line").alias("h2"), F.struct("k", "t", "x.pos").alias("at"))
+        .select(_line_name(F.col("x.line")).alias("h"), F.xxhash64(F.lit(1), "x.line").alias("h2"), F.struct("k", "t", "x.pos").alias("at"))
         .groupBy("h", "h2")
         .agg(F.min("at").alias("at"))
         .select("h", "at.*")
     )
 
 
-def _near_lines(firsts, docs_lines, edits, least, block):
-    """k, t and pos of first lines with an earlier first line at most ``edits`` edits away.
+def _near_lines(firsts, docs_lines, block):
+    """k, t and pos of first lines with an earlier first line that is near.
 
     ``docs_lines``: k, t, text, firsts (positions). Lines that share a key are collected in blocks of
     about ``block`` lines and blocks are compared, so a key of many lines gives few rows, none a pair.
@@ -97,48 +161,45 @@ def _near_lines(firsts, docs_lines, edits, least, block):
         F.explode(
             bound(_lines(), lambda x: F.transform("firsts", lambda pos: _compared_form(F.get(x, pos))))
         ).alias("line")
-    ).select("line", F.char_length("line").alias("n"), F.xxhash64("line").alias("h"))
-    entries = lines.filter(F.col("n") >= least).select("h", F.explode(_keys(F.col("line"), F.col("n"), edits)).alias("e")).select("h", "e.*")
+    ).select(_line_name(F.col("line")).alias("h"), "line", F.char_length("line").alias("n"))
     same = Window.partitionBy("key")
-    met = entries.select(
-        "*",
-        F.min("h").over(same).alias("low"),
-        F.max("h").over(same).alias("high"),
-        F.sum(F.col("own").cast("int")).over(same).alias("n_own"),
-        F.count("*").over(same).alias("n_all"),
-    ).filter("low < high AND n_own > 0")
+    met = (
+        _entries(lines)
+        .withColumns({"h": F.shiftrightunsigned("tag", 1), "own": F.col("tag").bitwiseAND(1)})
+        .select(
+            "h",
+            "key",
+            "own",
+            F.min("h").over(same).alias("low"),
+            F.max("h").over(same).alias("high"),
+            F.sum("own").over(same).alias("n_own"),
+            F.count("*").over(same).alias("n_all"),
+        )
+        .filter("low < high AND n_own > 0")
+    )
     # a segment stands on both sides: the index and the probes
-    sides = F.array_compact(F.array(F.struct(F.lit(False).alias("index"), F.col("n_all").alias("size")), F.when(F.col("own"), F.struct(F.lit(True).alias("index"), F.col("n_own").alias("size")))))
+    sides = F.array_compact(F.array(F.struct(F.lit(False).alias("index"), F.col("n_all").alias("size")), F.when(F.col("own") == 1, F.struct(F.lit(True).alias("index"), F.col("n_own").alias("size")))))
     met = met.select("h", "key", F.explode(sides).alias("s")).select(
         "h", "key", "s.index", F.pmod(F.xxhash64("h", F.lit(3)), F.ceil(F.col("s.size") / block)).alias("block")
     )
     placed = (
         met.join(firsts, "h")
         .join(docs_lines.select("k", "t", "text"), ["k", "t"])
-        .select(
-            "key",
-            "index",
-            "block",
-            F.struct(F.struct("k", "t", "pos").alias("at"), _compared_form(F.get(_lines(), F.col("pos"))).alias("line")).alias("x"),
-        )
+        .select("key", "index", "block", F.struct("k", "t", "pos").alias("at"), _compared_form(F.get(_lines(), F.col("pos"))).alias("line"))
+        .select("key", "index", "block", F.struct("at", F.char_length("line").alias("n"), F.split("line", "").alias("chars")).alias("x"))
     )
     blocks = placed.groupBy("key", "index", "block").agg(F.collect_set("x").alias("x"))
     left = blocks.filter("index").select("key", F.col("x").alias("a"))
     right = blocks.filter("NOT index").select("key", F.col("x").alias("b"))
     # the later line of each pair within reach
-    later = F.flatten(
-        F.transform(
-            "a",
-            lambda a: F.transform(
-                F.filter("b", lambda b: (a["at"] != b["at"]) & (F.levenshtein(a["line"], b["line"], edits) >= 0)),
-                lambda b: F.greatest(a["at"], b["at"]),
-            ),
-        )
+    near = lambda a, b: (
+        (a["at"] != b["at"]) & (b["n"] - a["n"]).between(0, allowed(a["n"])) & _within(a["chars"], b["chars"], a["n"], b["n"])
     )
+    later = F.flatten(F.transform("a", lambda a: F.transform(F.filter("b", lambda b: near(a, b)), lambda b: F.greatest(a["at"], b["at"]))))
     return left.join(right, "key").select(F.explode(F.array_distinct(later)).alias("at")).select("at.*").distinct()
 
 
-def drop_repeated(docs, key="doc_id", text="text", edits=EDITS, least=LEAST, block=64):
+def drop_repeated(docs, key="doc_id", text="text", block=64):
     """``docs``, all columns, with repeated lines dropped from ``text``, and n_lines, n_same, n_near counts.
 
     n_lines: lines that are not blank; n_same of them are dropped as equal to an earlier line, n_near as
@@ -149,7 +210,7 @@ def drop_repeated(docs, key="doc_id", text="text", edits=EDITS, least=LEAST, blo
     rows = _identified(docs, key, text)
     firsts = _first_lines(rows)
     of_row = firsts.groupBy("k", "t").agg(F.array_sort(F.collect_list("pos")).alias("firsts"))
-    near = _near_lines(firsts, rows.join(of_row, ["k", "t"]), edits, least, block)
+    near = _near_lines(firsts, rows.join(of_row, ["k", "t"]), block)
     near = near.groupBy("k", "t").agg(F.collect_set("pos").alias("near"))
     none = F.array().cast("array<int>")
     joined = (

@@ -159,14 +159,31 @@ def _distinct_words(text):
     return F.array_distinct(F.regexp_extract_all(text, F.lit(WORD), F.lit(0)))
 
 
-def disclosing(docs, spans, terms, text="text", support=SUPPORT, disclosed=DISCLOSED):
-    """entity, term, disclosure of the pairs at or over the thresholds; counts are over all documents."""
+def _weights(docs, key, text):
+    """(text, weight) of every row; the rows of one key and text weigh one together."""
+    rows = _identified(docs, key, text).select("k", "t", "text")
+    repeated = _written(rows.groupBy("k", "t").agg(F.count("*").alias("copies")).filter("copies > 1"), "repeated")
+    n = repeated.count()
+    if not n:
+        return rows.select("text", F.lit(1.0).alias("weight"))
+    repeated = F.broadcast(repeated) if n <= SENT else repeated
+    return rows.join(repeated, ["k", "t"], "left").select("text", (1 / F.coalesce("copies", F.lit(1))).alias("weight"))
+
+
+def disclosing(docs, spans, terms, key="doc_id", text="text", support=SUPPORT, disclosed=DISCLOSED):
+    """entity, term, disclosure of the pairs at or over the thresholds; counts are over all documents.
+
+    Rows of equal key and text count once, here as well as in ``spans`` and ``terms``.
+    """
     holds = spans.select("k", "t", _entity().alias("entity"))
     of_entity = holds.distinct().groupBy("entity").agg(F.count("*").alias("n_e"))
     together = terms.select("entity", "term", "k", "t").distinct().groupBy("entity", "term").agg(F.count("*").alias("n_et")).filter(F.col("n_et") >= support)
-    seen = _distinct_words(F.lower(F.coalesce(F.col(text), F.lit(""))))
-    of_term = docs.select(F.explode(seen).alias("term")).filter(F.length("term") >= SHORTEST_TERM).groupBy("term").agg(F.count("*").alias("n_t"))
-    total = docs.agg(F.count("*").alias("n"))
+    weighed = _weights(docs, key, text)
+    seen = _distinct_words(F.lower(F.coalesce(F.col("text"), F.lit(""))))
+    # sums of shares of one are whole numbers but for rounding
+    n_t = F.round(F.sum("weight")).cast("long").alias("n_t")
+    of_term = weighed.select("weight", F.explode(seen).alias("term")).filter(F.length("term") >= SHORTEST_TERM).groupBy("term").agg(n_t)
+    total = weighed.agg(F.round(F.sum("weight")).cast("long").alias("n"))
     pairs = together.join(of_term, "term").join(of_entity, "entity").crossJoin(F.broadcast(total))  # one row
     shared = F.log(F.col("n_et") * F.col("n") / (F.col("n_e") * (F.col("n_t") + SMOOTH))) / F.log(F.col("n") / F.col("n_e"))
     return pairs.filter(F.col("n") > F.col("n_e")).select("entity", "term", shared.alias("disclosure")).filter(F.col("disclosure") >= disclosed)
@@ -199,7 +216,7 @@ def _occurrences(docs, terms, key, text):
 def all_spans(docs, key="doc_id", text="text", support=SUPPORT, disclosed=DISCLOSED):
     """k, t, kind, start, end of base spans and of all places of disclosing terms, each span once."""
     spans = base_spans(docs, key, text)
-    pairs = disclosing(docs, spans, _near_terms(spans), text, support, disclosed)
+    pairs = disclosing(docs, spans, _near_terms(spans), key, text, support, disclosed)
     terms = _written(pairs.select("term").distinct(), "terms")
     given = _occurrences(docs, terms, key, text).select("k", "t", F.lit("term").alias("kind"), "start", "end")
     return spans.select("k", "t", "kind", "start", "end").unionByName(given)
@@ -229,21 +246,23 @@ def sanitise(docs, key="doc_id", text="text", support=SUPPORT, disclosed=DISCLOS
     spans = all_spans(docs, key, text, support, disclosed)
     before = Window.partitionBy("k", "t").orderBy("start", F.desc("end"), "kind").rowsBetween(Window.unboundedPreceding, -1)
     cut = spans.withColumn("reach", F.coalesce(F.max("end").over(before), F.lit(0))).filter(F.col("end") > F.col("reach"))
-    cut = cut.withColumn("start", F.greatest("start", "reach")).groupBy("k", "t").agg(F.array_sort(F.collect_list(F.struct("start", "end", "kind"))).alias("_cut"))
-    full = F.coalesce(F.col(text), F.lit(""))
-    marked = docs.withColumns({"_k": F.coalesce(F.col(key).cast("long"), F.lit(NO_KEY)), "_t": F.xxhash64(full)})
-    joined = marked.join(cut.withColumnsRenamed({"k": "_k", "t": "_t"}), ["_k", "_t"], "left")
+    cut = cut.withColumn("start", F.greatest("start", "reach")).groupBy("k", "t").agg(F.array_sort(F.collect_list(F.struct("start", "end", "kind"))).alias("cut"))
+    # the columns of docs are numbered, so that none has an inner name
+    names = {c: f"c_{i}" for i, c in enumerate(docs.columns)}
+    k, t = F.coalesce(F.col(key).cast("long"), F.lit(NO_KEY)).alias("k"), F.xxhash64(F.coalesce(F.col(text), F.lit(""))).alias("t")
+    joined = docs.select(k, t, *(F.col(c).alias(n) for c, n in names.items())).join(cut, ["k", "t"], "left")
+    own_text = F.col(names[text])
 
     def label(c):
-        own = F.substring(F.col(text), (c["start"] + 1).cast("int"), (c["end"] - c["start"]).cast("int"))
+        own = F.substring(own_text, (c["start"] + 1).cast("int"), (c["end"] - c["start"]).cast("int"))
         named = F.when(c["kind"] != "term", F.upper(c["kind"])).when(own.rlike("^[0-9]+$"), "NUMBER").otherwise("TERM")
         return F.concat(F.lit("["), named, F.lit("]"))
 
     def gap(i):
-        start = F.when(i > 0, F.get(F.col("_cut"), i - 1)["end"]).otherwise(0)
-        stop = F.coalesce(F.get(F.col("_cut"), i)["start"], F.length(text))
-        return F.substring(F.col(text), (start + 1).cast("int"), (stop - start).cast("int"))
+        start = F.when(i > 0, F.get(F.col("cut"), i - 1)["end"]).otherwise(0)
+        stop = F.coalesce(F.get(F.col("cut"), i)["start"], F.length(own_text))
+        return F.substring(own_text, (start + 1).cast("int"), (stop - start).cast("int"))
 
-    parts = F.transform(F.sequence(F.lit(0), F.size("_cut")), lambda i: F.concat(gap(i), F.when(i < F.size("_cut"), label(F.get(F.col("_cut"), i))).otherwise("")))
-    new = F.when(F.col("_cut").isNotNull(), F.array_join(parts, "")).otherwise(F.col(text))
-    return joined.select(*(new.alias(c) if c == text else F.col(c) for c in docs.columns))
+    parts = F.transform(F.sequence(F.lit(0), F.size("cut")), lambda i: F.concat(gap(i), F.when(i < F.size("cut"), label(F.get(F.col("cut"), i))).otherwise("")))
+    new = F.when(F.col("cut").isNotNull(), F.array_join(parts, "")).otherwise(own_text)
+    return joined.select(*(new.alias(c) if c == text else F.col(n).alias(c) for c, n in names.items()))

@@ -219,7 +219,7 @@ def test_lines_equal_brute_force(docs, none, rows):
         for pos, line in enumerate(text.split("\n")):
             if bare := line.strip(" \t\r\f\v"):
                 first.setdefault(bare, (i, pos))
-    near = {max((a, b), key=first.get) for a, b in itertools.combinations(first, 2) if min(len(a), len(b)) >= lines.LEAST and abs(len(a) - len(b)) <= 2 and distance(a, b) <= 2}
+    near = {max((a, b), key=first.get) for a, b in itertools.combinations(first, 2) if 0 < (edits := sum(min(len(a), len(b)) >= n for n in lines.FROM)) and abs(len(a) - len(b)) <= edits and distance(a, b) <= edits}
     assert near
     got = {r.doc_id: r.text for r in lines.drop_repeated(docs).collect()}
     for i, text, *_ in rows[0]:
@@ -229,6 +229,39 @@ def test_lines_equal_brute_force(docs, none, rows):
     assert lines.drop_repeated(none).count() == 0
 
 
+def test_short_lines_are_compared_too(spark):
+    rows = [(i, f"abcdefghijklmno{c}") for i, c in enumerate("pqrstu")] + [(10, "shorty"), (11, "shortx"), (12, "eight be"), (13, "eight by")]
+    found = {r.doc_id: r.n_near for r in lines.drop_repeated(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert found == {0: 0, 1: 1, 2: 1, 3: 1, 4: 1, 5: 1, 10: 0, 11: 0, 12: 0, 13: 1}
+
+
+def test_banded_distance_equals_the_whole_table(spark):
+    def distance(a, b):
+        row = list(range(len(b) + 1))
+        for i, x in enumerate(a, 1):
+            new = [i]
+            for j, y in enumerate(b, 1):
+                new.append(min(new[-1] + 1, row[j] + 1, row[j - 1] + (x != y)))
+            row = new
+        return row[-1]
+
+    rng, pairs = np.random.default_rng(6), []
+    for _ in range(1500):
+        a = [str(x) for x in rng.choice(list("abé"), int(rng.choice([8, 9, 16, 23, 24, 25, 70])))]
+        b = list(a) if rng.random() < 0.9 else [str(x) for x in rng.choice(list("abé"), len(a))]
+        for _ in range(int(rng.integers(5))):
+            at = int(rng.integers(len(b)))
+            b[at : at + 1] = [[], ["c"], [b[at], "a"], ["a"]][rng.integers(4)]
+        short, long = sorted(("".join(a), "".join(b)), key=len)
+        if len(long) - len(short) <= lines.EDITS:
+            pairs.append((short, long))
+    chars = lambda c: lines.F.split(c, "")
+    df = spark.createDataFrame(pairs, "a string, b string")
+    found = df.select("a", "b", lines._within(chars("a"), chars("b"), lines.F.length("a"), lines.F.length("b")).alias("near")).collect()
+    assert all(r.near == (distance(r.a, r.b) <= sum(len(r.a) >= n for n in lines.FROM)) for r in found)
+    assert 300 < sum(r.near for r in found) < len(found) - 300
+
+
 @pytest.mark.parametrize("edits", [1, 2, 3])
 def test_every_near_pair_meets_in_a_segment(edits):
     """The shifts of the probes reach a segment of any line within the edits."""
@@ -298,3 +331,27 @@ def test_decontamination_equals_brute_force(spark, docs, none, rows):
     assert decontaminate.report(none, benchmark).count() == 0
     empty = decontaminate.load_benchmark(none.select("doc_id", "text").withColumnRenamed("doc_id", "item_id"))
     assert decontaminate.report(docs, empty).filter("n_hit > 0").count() == 0
+
+
+NAMES = ("_key", "_k", "_t", "_cut", "key", "k", "t", "cut", "c_0", "text_", "label", "node")
+
+
+def with_names(df):
+    """Columns of every name that operators use inside, each with its own value in every row."""
+    return df.select("doc_id", "text").withColumns({name: pii.F.lit(f"own {name}") for name in NAMES})
+
+
+def test_columns_of_any_name_come_back(docs):
+    for run in (jaccard.keep_one, pii.sanitise, lines.drop_repeated):
+        out = run(with_names(docs))
+        assert out.columns[: len(NAMES) + 2] == ["doc_id", "text", *NAMES]
+        assert all(row[name] == f"own {name}" for row in out.collect() for name in NAMES)
+
+
+@pytest.mark.parametrize("copies", [1, 2, 4])
+def test_copies_of_a_row_disclose_as_one_does(spark, copies):
+    planted = [(1, "write to ann@home.org about zyzzyva")] * copies
+    others = [(i, f"nothing to see in text number {i}") for i in range(2, 299)]
+    df = spark.createDataFrame(planted + others, "doc_id long, text string")
+    out = [r.text for r in pii.sanitise(df).filter("doc_id = 1").collect()]
+    assert len(out) == copies and len(set(out)) == 1 and "[TERM]" in out[0] and "zyzzyva" not in out[0]
