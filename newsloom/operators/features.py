@@ -64,13 +64,21 @@ def term_frequency(df, key, words_col):
 
 
 def tfidf(df, key, words_col):
-    """(key, term, tf, df, tfidf) with weight tf * ln((N + 1) / (df + 1)).
+    """(key, term, tf, df, tfidf) with weight tf * ln((N + 1) / (df + 1)), from one read of the rows.
 
-    N is a scalar subquery. The join on ``term`` is skewed towards common words only on the
-    (key, term) side; the document counts hold one row per term.
+    Each row brings a null term along, whose frequencies add up to N. Terms per row, documents per term and
+    N all come from the same exchange of (key, term), which Spark makes once. The join on ``term`` is
+    skewed towards common words only on the (key, term) side; the document counts hold one row per term.
     """
-    tf = term_frequency(df, key, words_col)
-    document_counts = tf.groupBy("term").agg(F.count("*").alias("df"))
-    total = df.agg(F.count("*").alias("n")).scalar()
+    nothing = F.array(F.lit(None).cast("string"))
+    tf = (
+        df.select(key, F.explode(F.concat(nothing, F.coalesce(F.col(words_col), F.array().cast("array<string>")))).alias("term"))
+        .groupBy(key, "term")
+        .agg(F.count("*").alias("tf"))
+    )
+    counts = tf.groupBy("term").agg(F.count("*").alias("df"), F.sum("tf").alias("_all"))
+    total = counts.filter("term IS NULL").agg(F.coalesce(F.max("_all"), F.lit(0)).alias("n")).scalar()
     weight = F.col("tf") * F.log((total + F.lit(1)) / (F.col("df") + F.lit(1)))
-    return tf.join(document_counts, "term").select(key, "term", "tf", "df", weight.alias("tfidf"))
+    # the sum is of use here too: without it the two sides would no longer share their exchange
+    found = counts.filter("_all > 0").select("term", "df")
+    return tf.join(found, "term").select(key, "term", "tf", "df", weight.alias("tfidf"))

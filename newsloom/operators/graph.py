@@ -91,6 +91,58 @@ def load_graph_tables(spark, prefix):
     return NewsGraph(**{part.name: spark.table(f"{prefix}{part.name}") for part in fields(NewsGraph)})
 
 
+# Incremental loads ------------------------------------------------------------------------
+
+_BY = {"part_of": "sub_section"}  # all other tables are cut by title
+_SETS = ("part_of", "belongs_to", "reported_in", "has_category", "published_on")
+
+
+def _bucketed(graph, name, buckets):
+    return getattr(graph, name).withColumn("_bucket", F.pmod(F.xxhash64(_BY.get(name, "title")), F.lit(buckets)).cast("int"))
+
+
+def save_graph_buckets(graph, path, buckets):
+    """As Parquet in one partition folder for each bucket of titles, which ``upsert_graph`` can replace alone.
+
+    A bucket should hold some hundred MB: the number is fixed when the graph is first written.
+    """
+    for name in ("news", *_SETS):
+        rows = _bucketed(graph, name, buckets)
+        rows.repartition("_bucket").write.mode("overwrite").partitionBy("_bucket").parquet(f"{path}/{name}")
+    graph.rejects.write.mode("overwrite").parquet(f"{path}/rejects")
+
+
+def load_graph_buckets(spark, path):
+    tables = {name: spark.read.parquet(f"{path}/{name}").drop("_bucket") for name in ("news", *_SETS)}
+    return NewsGraph(rejects=spark.read.parquet(f"{path}/rejects"), **tables)
+
+
+def upsert_graph(spark, path, new, buckets, staging):
+    """Loads ``new`` into a graph of ``save_graph_buckets``; returns the buckets it rewrote by table.
+
+    Only buckets that ``new`` touches are read, merged by the rules of ``merge_graphs``, written below
+    ``staging`` and then put in place by dynamic partition overwrite, so a load that is cut off and run again
+    gives the same graph. Rejected rows are appended last.
+    """
+    touched = {}
+    for name in ("news", *_SETS):
+        rows = _bucketed(new, name, buckets)
+        # at most ``buckets`` numbers
+        touched[name] = sorted(row[0] for row in rows.select("_bucket").distinct().collect())
+        old = spark.read.parquet(f"{path}/{name}").filter(F.col("_bucket").isin(touched[name]))
+        both = old.unionByName(rows)
+        if name == "news":
+            merged = _latest(both).withColumn("_bucket", F.pmod(F.xxhash64("title"), F.lit(buckets)).cast("int"))
+        else:
+            merged = both.distinct()
+        merged.repartition("_bucket").write.mode("overwrite").parquet(f"{staging}/{name}")
+    for name in touched:
+        rows = spark.read.parquet(f"{staging}/{name}").repartition("_bucket")
+        rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("_bucket").parquet(f"{path}/{name}")
+    new.rejects.write.mode("append").parquet(f"{path}/rejects")
+    return touched
+
+
 def run_parameterised(spark, sql, parameters=None, **views):
     """A SQL query with bound parameters over graph tables given as keyword arguments."""
     return spark.sql(sql, args=parameters or {}, **views) if views else spark.sql(sql, args=parameters or {})

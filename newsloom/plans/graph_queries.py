@@ -5,8 +5,9 @@ from pyspark.sql import functions as F
 from newsloom.functions.words import SHORT_STOP_WORDS, STOP_WORDS
 from newsloom.operators import compressed
 from newsloom.operators import graph_reports as reports
-from newsloom.operators.graph import build_graph, merge_graphs
+from newsloom.operators.graph import build_graph, load_graph_buckets, merge_graphs, save_graph_buckets, upsert_graph
 from newsloom.plans.tables import graph, load_rows, with_graph
+from newsloom.session import work_dir
 
 
 def _part(name, *columns):
@@ -37,6 +38,7 @@ def _words_sql(stop_words, extra=""):
     )
 
 
+BUCKETS = 16  # of the stored graph
 CHOSEN = 20  # titles whose combinations are multiplied out
 NEWEST = 100  # rows of the newest related pairs
 
@@ -84,6 +86,9 @@ _SIDE = f"""(SELECT title, date, category, location, sub_section FROM {_listed_s
 _SQL = {
     "graph_news_nodes": "SELECT title, summary, publish_time FROM news",
     "graph_merge": "SELECT title, summary, publish_time FROM news",
+    "graph_upsert": """SELECT title, summary, publish_time, places, days FROM news
+JOIN (SELECT title, count(*) AS places FROM reported_in GROUP BY title) USING (title)
+JOIN (SELECT title, count(*) AS days FROM published_on GROUP BY title) USING (title)""",
     "graph_part_of": "SELECT sub_section, section FROM part_of",
     "graph_belongs_to": "SELECT title, sub_section FROM belongs_to",
     "graph_reported_in": "SELECT title, location FROM reported_in",
@@ -221,6 +226,19 @@ def graph_merge(spark, sf_dir):
     return merge_graphs(even, odd).news.select("title", "summary", time)
 
 
+def graph_upsert(spark, sf_dir):
+    """News nodes with their places and days, after loading every hundredth article into a stored graph of the others."""
+    rows = load_rows(spark, sf_dir)
+    first, later = (build_graph(rows.filter(kept), order_by=["article_id"]) for kept in ("article_id % 100 <> 0", "article_id % 100 = 0"))
+    path = work_dir(spark, "graph-buckets")
+    save_graph_buckets(first, path, BUCKETS)
+    upsert_graph(spark, path, later, BUCKETS, work_dir(spark, "graph-staging"))
+    loaded = load_graph_buckets(spark, path)
+    time = F.col("publish_time").cast("timestamp_ntz").alias("publish_time")
+    count = lambda df, name: df.groupBy("title").agg(F.count("*").alias(name))
+    return loaded.news.select("title", "summary", time).join(count(loaded.reported_in, "places"), "title").join(count(loaded.published_on, "days"), "title")
+
+
 def related_edges(spark, sf_dir):
     return reports.related_edges(graph(spark, sf_dir))
 
@@ -247,6 +265,7 @@ def place_day_members(spark, sf_dir):
 _RUN = {
     "graph_news_nodes": graph_news_nodes,
     "graph_merge": graph_merge,
+    "graph_upsert": graph_upsert,
     "graph_part_of": _part("part_of"),
     "graph_belongs_to": _part("belongs_to"),
     "graph_reported_in": _part("reported_in"),

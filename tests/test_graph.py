@@ -6,7 +6,16 @@ import pytest
 from pyspark.sql import functions as F
 
 from newsloom.operators import graph_reports as reports
-from newsloom.operators.graph import build_graph, load_graph, merge_graphs, run_parameterised, save_graph
+from newsloom.operators.graph import (
+    build_graph,
+    load_graph,
+    load_graph_buckets,
+    merge_graphs,
+    run_parameterised,
+    save_graph,
+    save_graph_buckets,
+    upsert_graph,
+)
 
 SCHEMA = (
     "title string, summary string, publish_time_ts timestamp, section string, sub_section string, "
@@ -114,3 +123,32 @@ def test_edges_are_sets(spark):
     for name in ("part_of", "belongs_to", "reported_in", "has_category", "published_on"):
         assert getattr(graph, name).count() == 1
     assert graph.news.filter(F.col("title") == "T").count() == 1
+
+
+def test_upsert_rewrites_only_its_buckets(spark, tmp_path):
+    rng = random.Random(8)
+
+    def some(i):
+        return article(
+            f"title {i}", summary=f"s{rng.randrange(9)}", time=f"2024-01-{rng.randrange(1, 28):02d} 10:00:00", section=f"S{rng.randrange(3)}",
+            sub=f"SS{rng.randrange(5)}", place=f"p{rng.randrange(6)}", label=rng.choice(["positive", "negative"]),
+        )
+
+    first = [some(i % 300) for i in range(400)] + [article(place=None)]
+    later = [some(7), some(7), some(1000), article(title=None), article("title 8", time="2023-01-01 10:00:00", place="old place")]
+    path, buckets = str(tmp_path / "graph"), 32
+    save_graph_buckets(graph_of(spark, first), path, buckets)
+    files = lambda: {str(f): f.stat().st_mtime_ns for f in (tmp_path / "graph").rglob("*.parquet") if "_bucket" in str(f)}
+    before = files()
+    for attempt in ("one", "two"):  # a load that is run again changes nothing but the list of rejects
+        touched = upsert_graph(spark, path, graph_of(spark, later), buckets, str(tmp_path / attempt))
+        assert len(touched["news"]) <= 3
+        stay = {f for f in before if int(f.split("_bucket=")[1].split("/")[0]) not in touched[f.split("/graph/")[1].split("/")[0]]}
+        after = files()
+        assert all(after.get(f) == before[f] for f in stay) and len(stay) > 0.6 * len(before)
+        whole, found = graph_of(spark, first + later), load_graph_buckets(spark, path)
+        for name in ("news", "part_of", "belongs_to", "reported_in", "has_category", "published_on"):
+            columns = [c for c in getattr(whole, name).columns if c != "_order"]
+            one, two = (sorted(map(tuple, getattr(g, name).select(columns).collect()), key=str) for g in (whole, found))
+            assert one == two, name
+    assert found.rejects.count() == 3

@@ -8,7 +8,7 @@ from newsloom.functions.markup import decode_entities, html_text, location_of
 from newsloom.functions.valence import Modifiers
 from newsloom.functions.words import ENGLISH_STOP_WORDS, STOP_WORDS, letters_only, lower_trim, parse_time, title_words
 from newsloom.operators.features import encode_label, tokenize
-from newsloom.operators.sentiment import add_sentiment_label, score_sentiment
+from newsloom.operators.sentiment import add_sentiment_label, score_sentiment, sentiment_scores
 from newsloom.schemas import TIME_FORMAT
 from newsloom.sources.listing import NO_SUMMARY, extract_listing, listing_rejects
 
@@ -145,3 +145,37 @@ def test_references_are_read_as_python_reads_them(spark):
     rows = spark.createDataFrame([(i, t) for i, t in enumerate(cases)], "i int, t string")
     found = {r.i: r.t for r in rows.select("i", decode_entities(F.col("t")).alias("t")).collect()}
     assert found == {i: None if t is None else python_html.unescape(t) for i, t in enumerate(cases)}
+
+
+def test_scores_from_the_tokens_alone_are_those_joined_back(spark):
+    texts = ["good day", "bad bad day", "", None, "good day", "not good", "very good, bad"]
+    rows = [(k, t, n) for t in texts for k in ("a", None) for n in (1, None)] + [("a", "good day", 1)] * 2
+    df = spark.createDataFrame(rows, "link string, summary string, n int")
+    lexicon = spark.createDataFrame([("good", 1.9), ("bad", -2.5)], "token string, valence double")
+    for modifiers in (None, Modifiers()):
+        wanted = score_sentiment(df, "summary", lexicon, modifiers=modifiers).select("link", "n", "sentiment_score")
+        found = sentiment_scores(df, "summary", lexicon, keep=["n"], modifiers=modifiers)
+        assert found.columns == wanted.columns
+        assert sorted(map(tuple, found.collect()), key=str) == sorted(map(tuple, wanted.collect()), key=str)
+
+
+def scans(df, name):
+    """How often the final plan reads a table; a reused exchange is one read."""
+    df.collect()
+    plan = df._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    return sum(name in line for line in plan.splitlines() if "FileScan" in line)
+
+
+def test_texts_are_read_once(spark, tmp_path):
+    from newsloom.operators.features import tfidf
+
+    spark.createDataFrame([(i, f"good day {i % 3}") for i in range(40)] + [(99, None)], "link int, summary string").write.parquet(f"{tmp_path}/texts")
+    df = spark.read.parquet(f"{tmp_path}/texts")
+    lexicon = spark.createDataFrame([("good", 1.9), ("bad", -2.5)], "token string, valence double")
+    assert scans(sentiment_scores(df, "summary", lexicon), "texts") == 1
+    terms = tfidf(df.withColumn("words", F.split("summary", " ")), "link", "words")
+    assert scans(terms, "texts") == 1
+    found = {(r.link, r.term): (r.tf, r.df, round(r.tfidf, 9)) for r in terms.collect()}
+    import math
+
+    assert found[0, "good"] == (1, 40, round(math.log(42 / 41), 9)) and found[1, "1"][1] == 13 and len(found) == 120
