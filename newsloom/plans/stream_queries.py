@@ -6,7 +6,7 @@ from newsloom.functions.words import parse_time
 from newsloom.operators.clean import clean_text
 from newsloom.operators.models import batch_score
 from newsloom.plans.model_queries import fit_and_save, load_fitted
-from newsloom.plans.tables import SCORED_SCHEMA, articles, land_topic, read, with_articles
+from newsloom.plans.tables import SCORED_SCHEMA, articles, land_topic, read, source_state, with_articles
 from newsloom.schemas import TIME_FORMAT
 from newsloom.session import work_dir
 from newsloom.sources.articles import parse_messages, read_topic_stream
@@ -20,8 +20,8 @@ _FROM, _TO = "2024-01-20 00:00:00", "2024-02-10 23:59:59"
 
 
 def _topic(spark, sf_dir):
-    """The landed message log, written once per session."""
-    key = (spark.sparkContext.applicationId, sf_dir)
+    """The landed message log, written once per session and state of the tables."""
+    key = source_state(spark, sf_dir)
     if key not in _TOPICS:
         _TOPICS[key] = land_topic(spark, sf_dir, "stream-topic")
     return _TOPICS[key]

@@ -169,6 +169,17 @@ def with_graph(sql):
 
 
 _LOADED = {}
+_SOURCES = ("documents", "events", "labels", "customer", "nation", "region")
+
+
+def source_state(spark, sf_dir):
+    """What a copy of the articles was made from: the application, and when each table last changed."""
+    sc = spark.sparkContext
+    times = []
+    for name in _SOURCES:
+        path = sc._jvm.org.apache.hadoop.fs.Path(f"{sf_dir}/{name}.parquet")
+        times.append(path.getFileSystem(sc._jsc.hadoopConfiguration()).getFileStatus(path).getModificationTime())
+    return sc.applicationId, sf_dir, *times
 
 
 def graph_input(spark, sf_dir):
@@ -186,12 +197,12 @@ def graph_input(spark, sf_dir):
 
 
 def load_rows(spark, sf_dir):
-    """The written copy of the narrow load rows, made once per session.
+    """The written copy of the narrow load rows, made once per session and state of the tables.
 
     Each node and edge table reads the load rows anew; from the copy that is a few short
     columns instead of the documents' full text and its joins.
     """
-    key = (spark.sparkContext.applicationId, sf_dir)
+    key = source_state(spark, sf_dir)
     if key not in _LOADED:
         path = work_dir(spark, "graph-rows")
         graph_input(spark, sf_dir).write.mode("overwrite").parquet(path)

@@ -152,3 +152,21 @@ def test_upsert_rewrites_only_its_buckets(spark, tmp_path):
             one, two = (sorted(map(tuple, getattr(g, name).select(columns).collect()), key=str) for g in (whole, found))
             assert one == two, name
     assert found.rejects.count() == 3
+
+
+def test_written_load_rows_follow_the_tables(spark, tmp_path):
+    import os
+    import shutil
+
+    from newsloom.plans.tables import load_rows
+
+    for name in ("documents", "events", "labels", "customer", "nation", "region"):
+        source = f"/root/testdata/sf0.001/{name}.parquet"
+        copy = shutil.copytree if os.path.isdir(source) else shutil.copy
+        copy(source, tmp_path / f"{name}.parquet")
+    before = load_rows(spark, str(tmp_path))
+    assert before.inputFiles() == load_rows(spark, str(tmp_path)).inputFiles()
+    fewer = spark.read.parquet(f"{tmp_path}/documents.parquet").limit(20).collect()
+    schema = spark.read.parquet(f"{tmp_path}/documents.parquet").schema
+    spark.createDataFrame(fewer, schema).write.mode("overwrite").parquet(f"{tmp_path}/documents.parquet")
+    assert load_rows(spark, str(tmp_path)).count() == 20 < before.count()
