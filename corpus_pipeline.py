@@ -2,6 +2,10 @@
 
 Every stage takes (spark, docs, sf_dir), works on all rows it is given, and all but the last return the
 columns of ``documents``. Labels and the benchmark are read from ``sf_dir``.
+
+A null or empty text is kept by all stages and has no ids. Repeated rows are scored alike, keep the same
+lines, and leave one row in the near-copy stage if they have words. A row of null key is a document of its own. Columns of any
+name come back as they were. Empty tables give no rows; without labels no document is rejected as toxic.
 """
 
 from pyspark.sql import functions as F
@@ -52,7 +56,7 @@ STAGES = [
     ("byte-level BPE encoding and decoding", encode),
 ]
 
-#: A learned score and an edit-distance join over all lines are beyond SQL; tests hold the stages to brute force.
+#: A learned score and an edit-distance join over all lines are beyond SQL; ``tests/llm/test_queries.py`` holds the stages to brute force.
 ORACLE_SQL = None
 
 
