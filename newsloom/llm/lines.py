@@ -15,6 +15,8 @@ dropped where the same line, or one near it, stands earlier (by key, then place)
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from newsloom.llm.work import written
+
 FROM = (8, 24)
 EDITS = len(FROM)
 
@@ -70,8 +72,8 @@ def _entries(lines):
     return found.filter("key IS NOT NULL").select("key", tag.alias("tag"))
 
 
-def _within(a, b, n_a, n_b):
-    """Whether the characters b are at most ``allowed(n_a)`` edits from a; n_b is n_a to n_a + EDITS.
+def _distance(a, b, n_a, n_b):
+    """Edits from the characters a to b, if they are few; n_b is n_a to n_a + EDITS, and not 0.
 
     Bit t of a word is the row that lies WIDTH - 1 - t above the lowest row of the band, which goes down one
     row a column. vp and vn hold where a cell is one more or one less than the cell above it; the distance
@@ -111,8 +113,58 @@ def _within(a, b, n_a, n_b):
         # the distance falls by one a column at most, in at most 2 * EDITS columns
         return F.when(state["distance"] > 3 * EDITS, state).otherwise(bound(equal, moved))
 
-    start = F.struct(F.lit(full & ~((1 << (low - EDITS)) - 1)).alias("vp"), F.lit(0).alias("vn"), F.lit(EDITS).alias("distance"))
-    return F.aggregate(F.sequence(F.lit(0), n_b - 1), start, column, lambda state: state["distance"]) <= allowed(n_a)
+    start = F.struct(F.lit(full & ~((1 << (low - EDITS)) - 1)).alias("vp"), F.lit(0).alias("vn"), F.least(n_a, F.lit(EDITS)).alias("distance"))
+    return F.aggregate(F.sequence(F.lit(0), n_b - 1), start, column, lambda state: state["distance"])
+
+
+def _trimmed(a, b):
+    """The two lines as a struct, without what they share at both ends, looked for in halves, quarters and so on."""
+
+    def step(part, tail):
+        def strip(both):
+            x, y = both["a"], both["b"]
+            n, m = F.length(x), F.length(y)
+            k = F.floor(n / part).cast("int")
+            if tail:
+                same = F.substring(x, n - k + 1, k) == F.substring(y, m - k + 1, k)
+                less = F.struct(F.substring(x, F.lit(1), n - k).alias("a"), F.substring(y, F.lit(1), m - k).alias("b"))
+            else:
+                same = F.substring(x, F.lit(1), k) == F.substring(y, F.lit(1), k)
+                less = F.struct(F.substring(x, k + 1, n - k).alias("a"), F.substring(y, k + 1, m - k).alias("b"))
+            return F.when((k > 0) & same, less).otherwise(both)
+
+        return strip
+
+    out = F.struct(a.alias("a"), b.alias("b"))
+    for part in (2, 2, 4, 8):
+        for tail in (False, True):
+            out = bound(out, step(part, tail))
+    return out
+
+
+PIECES = 6
+
+
+def _pieces(line, n):
+    """The line in ``PIECES`` parts; an edit spoils one of them at most, the others stand in the edited line."""
+    cut = lambda i: F.floor(n * i / PIECES).cast("int")
+    return F.array(*(F.substring(line, cut(i) + 1, cut(i + 1) - cut(i)) for i in range(PIECES)))
+
+
+def _may_be_near(pieces, n, b):
+    """False only where so many pieces are missing in b that the line they make up is not near it."""
+    return F.size(F.filter(pieces, lambda piece: F.contains(b, piece))) >= F.lit(PIECES) - allowed(n)
+
+
+def _near(a, b):
+    """Whether line b, of as many characters as a or up to EDITS more, is within the edits allowed to a."""
+
+    def rest(both):
+        n, m = F.length(both["a"]), F.length(both["b"])
+        # a shared end changes no distance; without characters in one the other's are all inserted
+        return F.when(n == 0, m).otherwise(_distance(F.split(both["a"], ""), F.split(both["b"], ""), n, m))
+
+    return bound(_trimmed(a, b), rest) <= allowed(F.length(a))
 
 
 NO_KEY = -(1 << 63)  # stands for a null key, so that such rows come first
@@ -186,15 +238,16 @@ def _near_lines(firsts, docs_lines, block):
         met.join(firsts, "h")
         .join(docs_lines.select("k", "t", "text"), ["k", "t"])
         .select("key", "index", "block", F.struct("k", "t", "pos").alias("at"), _compared_form(F.get(_lines(), F.col("pos"))).alias("line"))
-        .select("key", "index", "block", F.struct("at", F.char_length("line").alias("n"), F.split("line", "").alias("chars")).alias("x"))
+        .select("key", "index", "block", F.struct("at", "line", F.char_length("line").alias("n")).alias("x"))
     )
-    blocks = placed.groupBy("key", "index", "block").agg(F.collect_set("x").alias("x"))
-    left = blocks.filter("index").select("key", F.col("x").alias("a"))
+    # written, or the two sides would each sort all entries
+    blocks = written(placed.groupBy("key", "index", "block").agg(F.collect_set("x").alias("x")), "blocks")
+    cut = lambda x: F.struct(x["at"].alias("at"), x["line"].alias("line"), x["n"].alias("n"), _pieces(x["line"], x["n"]).alias("pieces"))
+    left = blocks.filter("index").select("key", F.transform("x", cut).alias("a"))
     right = blocks.filter("NOT index").select("key", F.col("x").alias("b"))
     # the later line of each pair within reach
-    near = lambda a, b: (
-        (a["at"] != b["at"]) & (b["n"] - a["n"]).between(0, allowed(a["n"])) & _within(a["chars"], b["chars"], a["n"], b["n"])
-    )
+    alike = lambda a, b: (b["n"] - a["n"]).between(0, allowed(a["n"])) & _may_be_near(a["pieces"], a["n"], b["line"])
+    near = lambda a, b: (a["at"] != b["at"]) & alike(a, b) & _near(a["line"], b["line"])
     later = F.flatten(F.transform("a", lambda a: F.transform(F.filter("b", lambda b: near(a, b)), lambda b: F.greatest(a["at"], b["at"]))))
     return left.join(right, "key").select(F.explode(F.array_distinct(later)).alias("at")).select("at.*").distinct()
 

@@ -255,9 +255,13 @@ def test_banded_distance_equals_the_whole_table(spark):
         short, long = sorted(("".join(a), "".join(b)), key=len)
         if len(long) - len(short) <= lines.EDITS:
             pairs.append((short, long))
-    chars = lambda c: lines.F.split(c, "")
+    col, chars = lines.F.col, lambda c: lines.F.split(c, "")
     df = spark.createDataFrame(pairs, "a string, b string")
-    found = df.select("a", "b", lines._within(chars("a"), chars("b"), lines.F.length("a"), lines.F.length("b")).alias("near")).collect()
+    # the whole lines, and what is left of them without their shared ends
+    whole = lines._distance(chars("a"), chars("b"), lines.F.length("a"), lines.F.length("b")) <= lines.allowed(lines.F.length("a"))
+    may = lines._may_be_near(lines._pieces(col("a"), lines.F.length("a")), lines.F.length("a"), col("b"))
+    found = df.select("a", "b", whole.alias("whole"), lines._near(col("a"), col("b")).alias("near"), may.alias("may")).collect()
+    assert all(r.whole == r.near <= r.may for r in found) and not all(r.may for r in found)
     assert all(r.near == (distance(r.a, r.b) <= sum(len(r.a) >= n for n in lines.FROM)) for r in found)
     assert 300 < sum(r.near for r in found) < len(found) - 300
 
