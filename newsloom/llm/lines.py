@@ -15,8 +15,6 @@ dropped where the same line, or one near it, stands earlier (by key, then place)
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from newsloom.llm.work import written
-
 FROM = (8, 24)
 EDITS = len(FROM)
 
@@ -240,15 +238,16 @@ def _near_lines(firsts, docs_lines, block):
         .select("key", "index", "block", F.struct("k", "t", "pos").alias("at"), _compared_form(F.get(_lines(), F.col("pos"))).alias("line"))
         .select("key", "index", "block", F.struct("at", "line", F.char_length("line").alias("n")).alias("x"))
     )
-    # written, or the two sides would each sort all entries
-    blocks = written(placed.groupBy("key", "index", "block").agg(F.collect_set("x").alias("x")), "blocks")
+    # sides are told by an aggregate: a filter on ``index`` would be pushed down, and the entries sorted twice
+    blocks = placed.groupBy("key", "index", "block").agg(F.collect_set("x").alias("x"), F.max("index").alias("side"))
+    left = blocks.filter("side").select("key", F.col("x").alias("a"))
+    right = blocks.filter("NOT side").select("key", F.col("x").alias("b"))
     cut = lambda x: F.struct(x["at"].alias("at"), x["line"].alias("line"), x["n"].alias("n"), _pieces(x["line"], x["n"]).alias("pieces"))
-    left = blocks.filter("index").select("key", F.transform("x", cut).alias("a"))
-    right = blocks.filter("NOT index").select("key", F.col("x").alias("b"))
     # the later line of each pair within reach
     alike = lambda a, b: (b["n"] - a["n"]).between(0, allowed(a["n"])) & _may_be_near(a["pieces"], a["n"], b["line"])
     near = lambda a, b: (a["at"] != b["at"]) & alike(a, b) & _near(a["line"], b["line"])
-    later = F.flatten(F.transform("a", lambda a: F.transform(F.filter("b", lambda b: near(a, b)), lambda b: F.greatest(a["at"], b["at"]))))
+    found = lambda a: F.transform(F.filter("b", lambda b: near(a, b)), lambda b: F.greatest(a["at"], b["at"]))
+    later = F.flatten(F.transform("a", lambda a: bound(cut(a), found)))
     return left.join(right, "key").select(F.explode(F.array_distinct(later)).alias("at")).select("at.*").distinct()
 
 
