@@ -5,6 +5,8 @@ pairs of its titles. The tables here hold the factors and say how many combinati
 are multiplied out only for chosen titles, places, days, or for the first rows of an order.
 """
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -12,6 +14,7 @@ from newsloom.functions.words import STOP_WORDS, title_words
 from newsloom.operators.clean import split_bucket
 
 BLOCK = 2_000  # titles in a member list
+LANES = 8  # longs that hold the words counted together
 
 
 # Profiles ---------------------------------------------------------------------------------
@@ -189,47 +192,99 @@ def pairs_of_place(graph, location=None, date=None, **options):
 # Words and their neighbourhood ------------------------------------------------------------
 
 
+def _title_id():
+    """A title as two longs, which aggregates hold in place."""
+    return F.xxhash64("title").alias("a"), F.xxhash64(F.lit(1), "title").alias("b")
+
+
+def _held(words):
+    """By word, place and day: the word's titles there, their number, and of a single one its id."""
+    return words.groupBy("word", "location", "date").agg(F.count("*").alias("n"), F.bit_xor("a").alias("a"), F.bit_xor("b").alias("b"))
+
+
+def _masks(held, numbered):
+    """Per place and day the words of a numbered list that it holds, as bits of ``LANES`` longs."""
+    bits = [F.bit_or(F.when(F.col("lane") == i, F.col("bit")).otherwise(F.lit(0).cast("long"))).alias(f"m{i}") for i in range(LANES)]
+    return held.join(F.broadcast(numbered), "word").groupBy("location", "date").agg(*bits)  # at most 64 * LANES words
+
+
+def _numbered(spark, words):
+    rows = [(word, k, k // 64, (1 << k % 64) - (1 << 64 if k % 64 == 63 else 0)) for k, word in enumerate(words)]
+    return spark.createDataFrame(rows, "word string, k int, lane int, bit long")
+
+
+def _united(members, masks, *title):
+    """Per title the words of all its places and days."""
+    return members.join(masks, ["location", "date"]).groupBy(*title).agg(*(F.bit_or(f"m{i}").alias(f"m{i}") for i in range(LANES)))
+
+
+def _bit_counts(batches):
+    """How many rows have each bit, batch by batch."""
+    for batch in batches:
+        lanes = np.stack([batch.column(i).to_numpy().astype("<i8") for i in range(batch.num_columns)], axis=1)
+        bits = np.unpackbits(np.ascontiguousarray(lanes).view(np.uint8), axis=1, bitorder="little")
+        yield pa.RecordBatch.from_pydict({"k": np.arange(bits.shape[1], dtype=np.int32), "n": bits.sum(0, dtype=np.int64)})
+
+
+def _alone(held, members, words):
+    """(word, a, b) of titles that alone have the word in every place and day of theirs."""
+    own = held.filter("n = 1").join(F.broadcast(words.select("word")), "word").groupBy("word", "a", "b").agg(F.count("*").alias("of"))
+    return own.join(members.groupBy("a", "b").agg(F.count("*").alias("of")), ["a", "b", "of"]).select("word", "a", "b")
+
+
 def neighbour_words(graph, stop_words=STOP_WORDS, limit=10, **options):
     """``graph_reports.related_title_words`` where all titles of a place and day are related, without their pairs.
 
     A word's related titles are the members of the groups that hold one of its titles, but a title that alone
-    has the word in all its groups with it. Titles of one group are counted by formula. Titles of several
-    groups could be counted twice, so they are listed, but only for words that can be among the first:
-    a word's count lies between the largest part that no title shares and the sum of all parts.
+    has the word in all its groups. They are counted for ``64 * LANES`` words at a time: the words are bits of a
+    group, and the groups of a title are united, so a read of the members counts all of them. Words come by the
+    sizes of their groups, which bound the count, until no other can be among the first.
     """
-    members = place_days(graph, **options)
-    members = members.join(members.groupBy("title").agg(F.count("*").alias("of")), "title")
-    single = (F.col("of") == 1).cast("long")
-    sizes = members.groupBy("location", "date").agg(F.sum(single).alias("singles"), F.count("*").alias("size"))
-    words = members.withColumn("word", F.explode(F.array_distinct(title_words(F.col("title"), stop_words))))
-    # the word's titles in the group: their number, and the only one's name and whether it has no other group
-    held = words.groupBy("word", "location", "date").agg(
-        F.count("*").alias("n"), F.min("title").alias("only"), F.min(single).alias("only_single")
-    )
-    held = held.withColumn("only", F.when(F.col("n") == 1, F.col("only"))).join(sizes, ["location", "date"])
-    # singles related through this group, exactly, and the titles of several groups that it may add
-    alone = F.when(F.col("n") == 1, F.col("only_single")).otherwise(0)
-    sole_multi = F.when(F.col("n") == 1, 1 - F.col("only_single")).otherwise(0)
-    held = held.withColumns({"sure": F.col("singles") - alone, "more": F.col("size") - F.col("singles") - sole_multi})
-    bounds = held.groupBy("word").agg(F.sum("sure").alias("sure"), F.max("more").alias("least"), F.sum("more").alias("most"))
-    bounds = bounds.filter("sure + most > 0")
-    bar = bounds.orderBy((F.col("sure") + F.col("least")).desc()).limit(limit).agg(F.min(F.col("sure") + F.col("least"))).first()[0]
-    maybe = bounds.filter(F.col("sure") + F.col("most") >= F.lit(bar if bar is not None else 0)).select("word", "sure")
-    shared = members.filter("of > 1").select("location", "date", "title")
-    listed = (
-        held.filter("more > 0")
-        .join(maybe, "word", "left_semi")
-        .select("word", "location", "date", "only")
-        .join(shared, ["location", "date"])
-        .filter("only IS NULL OR only <> title")
-        .select("word", "title")
-        .distinct()
-        .groupBy("word")
-        .agg(F.count("*").alias("listed"))
-    )
-    counts = maybe.join(listed, "word", "left").select("word", (F.col("sure") + F.coalesce("listed", F.lit(0))).alias("related_count"))
-    top = F.broadcast(counts.filter("related_count > 0").orderBy(F.desc("related_count"), "word").limit(limit))  # at most ``limit`` rows
-    found = held.join(top, "word").select("word", "related_count", "location", "date", "only")
-    others = members.select("location", "date", F.col("title").alias("related_title"))
-    rows = found.join(others, ["location", "date"]).filter("only IS NULL OR only <> related_title")
-    return rows.select("word", "related_count", "related_title").distinct()
+    titles = place_days(graph, **options)
+    a, b = _title_id()
+    members = titles.select("location", "date", a, b).persist()
+    words = titles.select("location", "date", a, b, F.explode(F.array_distinct(title_words(F.col("title"), stop_words))).alias("word"))
+    spark, kept = members.sparkSession, _held(words).persist()
+    try:
+        sizes = members.groupBy("location", "date").agg(F.count("*").alias("size"))
+        most = F.sum(F.col("size") - F.when(F.col("n") == 1, 1).otherwise(0)).alias("most")
+        bounds = kept.join(sizes, ["location", "date"]).groupBy("word").agg(most).filter("most > 0").persist()
+        whole = members.join(sizes.filter("size > 1"), ["location", "date"], "left_semi").select("a", "b").distinct().count()
+        first, after = [], F.lit(True)
+        while True:
+            may = after
+            if len(first) == limit:
+                bar, last = first[-1]
+                upper = F.least("most", F.lit(whole))
+                may = may & ((upper > -bar) | ((upper == -bar) & (F.col("word") < last)))
+            batch = bounds.filter(may).orderBy(F.desc("most"), "word").limit(64 * LANES).collect()
+            if not batch:
+                break
+            numbered = _numbered(spark, [row.word for row in batch])
+            united = _united(members, _masks(kept, numbered), "a", "b").select(*(f"m{i}" for i in range(LANES)))
+            counts = united.mapInArrow(_bit_counts, "k int, n long").groupBy("k").agg(F.sum("n").alias("n"))
+            less = _alone(kept, members, numbered).groupBy("word").agg(F.count("*").alias("less"))
+            counts = numbered.join(counts, "k").join(less, "word", "left").select("word", (F.col("n") - F.coalesce("less", F.lit(0))).alias("n"))
+            first = sorted(first + [(-row.n, row.word) for row in counts.collect() if row.n > 0])[:limit]
+            end = batch[-1]
+            after = (F.col("most") < end.most) | ((F.col("most") == end.most) & (F.col("word") > end.word))
+            if len(batch) < 64 * LANES:
+                break
+        bounds.unpersist()
+    finally:
+        kept.unpersist()
+        members.unpersist()
+    # at most ``limit`` words from here on, so all rows are of the answer
+    parts = None
+    for start in range(0, max(len(first), 1), 64 * LANES):
+        chosen = first[start : start + 64 * LANES]
+        numbered = _numbered(spark, [word for _, word in chosen])
+        top = numbered.join(spark.createDataFrame([(word, -n) for n, word in chosen], "word string, related_count long"), "word")
+        held = _held(words.join(F.broadcast(numbered.select("word")), "word"))
+        united = _united(titles, _masks(held, numbered), "title")
+        bit = F.element_at(F.array(*(f"m{i}" for i in range(LANES))), F.col("lane") + 1).bitwiseAND(F.col("bit"))
+        rows = united.crossJoin(F.broadcast(top)).filter(bit != 0).select("word", "related_count", F.col("title").alias("related_title"), *_title_id())
+        rows = rows.join(_alone(held, titles.select("location", "date", *_title_id()), numbered), ["word", "a", "b"], "left_anti")
+        rows = rows.select("word", "related_count", "related_title")
+        parts = rows if parts is None else parts.unionByName(rows)
+    return parts

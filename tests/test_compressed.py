@@ -169,3 +169,10 @@ def test_nothing_is_made_of_nothing(spark):
         compressed.neighbour_words(graph),
     ):
         assert found.count() == 0
+
+
+@pytest.mark.parametrize("limit", [1, 5, 100, 1000])
+def test_neighbour_words_in_several_rounds(graph, monkeypatch, limit):
+    wanted = sorted(map(tuple, compressed.neighbour_words(graph, limit=limit).collect()))
+    monkeypatch.setattr(compressed, "LANES", 1)  # 64 words a round, of which there are more
+    assert sorted(map(tuple, compressed.neighbour_words(graph, limit=limit).collect())) == wanted
