@@ -1,5 +1,7 @@
 """The given tables as articles, graph, topic and listing pages; each with its SQL twin."""
 
+from dataclasses import replace
+
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -37,25 +39,26 @@ def read(spark, sf_dir, name):
 def articles(spark, sf_dir):
     """Articles: one per document, with a time from its event and a place from its customer.
 
-    The title is the whole first line, the summary the whole text. Events are keyed by
-    document, so that documents are partitioned once for both large joins. A document's place
-    is that of the customer whose key is the document's modulo the table's key range.
+    The title is the whole first line, the summary the whole text. Times, places and labels are
+    brought together first, by the document's number, so that texts are exchanged once, as one
+    column, and only where they are asked for. A document's place is that of the customer whose
+    key is the document's modulo the table's key range.
     """
     customers = read(spark, sf_dir, "customer")
     key_range = customers.agg((F.max("c_custkey") + 1).alias("key_range"))
-    docs = read(spark, sf_dir, "documents").crossJoin(F.broadcast(key_range)).select(  # one row
+    docs = read(spark, sf_dir, "documents").select(
         F.col("doc_id").alias("article_id"),
         F.substring_index("text", "\n", 1).alias("title"),
-        F.col("text").alias("summary"),
+        "text",
         F.col("lang").alias("section"),
         F.col("source").alias("sub_section"),
-        "text",
-        (F.col("doc_id") % F.col("key_range")).alias("c_custkey"),
     )
     times = (
         read(spark, sf_dir, "events")
         .filter(F.col("event_id") % 5 == 0)
         .select(F.expr("event_id div 5").alias("article_id"), "ts")
+        .crossJoin(F.broadcast(key_range))  # one row
+        .withColumn("c_custkey", F.col("article_id") % F.col("key_range"))
     )
     labels = read(spark, sf_dir, "labels").withColumnRenamed("doc_id", "article_id")
     # nation and region have a fixed 25 and 5 rows
@@ -72,16 +75,15 @@ def articles(spark, sf_dir):
         )
         .select("c_custkey", F.concat("r_name", F.lit(" "), "c_mktsegment").alias("place"))
     )
+    facts = times.join(places, "c_custkey", "left").join(labels, "article_id", "left").drop("c_custkey", "key_range")
     spot = F.col("article_id") % 20
     return (
-        docs.join(times, "article_id")
-        .join(labels, "article_id", "left")
-        .join(places, "c_custkey", "left")
+        docs.join(facts, "article_id")
         .select(
             "article_id",
             "title",
             F.concat(F.lit("https://news.example.com/"), F.col("article_id").cast("string")).alias("link"),
-            "summary",
+            F.col("text").alias("summary"),
             F.date_format(
                 F.date_trunc("second", "ts") + F.make_interval(F.lit(0), (F.col("article_id") % 3).cast("int")),
                 TIME_FORMAT,
@@ -196,22 +198,30 @@ def graph_input(spark, sf_dir):
     )
 
 
-def load_rows(spark, sf_dir):
-    """The written copy of the narrow load rows, made once per session and state of the tables.
-
-    Each node and edge table reads the load rows anew; from the copy that is a few short
-    columns instead of the documents' full text and its joins.
-    """
-    key = source_state(spark, sf_dir)
+def _written(spark, sf_dir, name, *left_out):
+    key = name, *source_state(spark, sf_dir)
     if key not in _LOADED:
-        path = work_dir(spark, "graph-rows")
-        graph_input(spark, sf_dir).write.mode("overwrite").parquet(path)
+        path = work_dir(spark, name)
+        graph_input(spark, sf_dir).drop(*left_out).write.mode("overwrite").parquet(path)
         _LOADED[key] = path
     return spark.read.parquet(_LOADED[key])
 
 
+def load_rows(spark, sf_dir):
+    """The written copy of the load rows, made once per session and state of the tables."""
+    return _written(spark, sf_dir, "graph-rows")
+
+
 def graph(spark, sf_dir):
-    return build_graph(load_rows(spark, sf_dir), order_by=["article_id"])
+    """The graph of all articles. Edges come from a written copy without the summaries.
+
+    Each edge table reads the load rows anew; from the copy that is a few short columns instead of the joins.
+    News nodes and rejects are the only ones to hold a summary and are made from the articles themselves, so
+    that texts move only for reports that read them.
+    """
+    edges = build_graph(_written(spark, sf_dir, "graph-edges", "summary").withColumn("summary", F.lit("")), order_by=["article_id"])
+    whole = build_graph(graph_input(spark, sf_dir), order_by=["article_id"])
+    return replace(edges, news=whole.news, rejects=whole.rejects)
 
 
 def lexicon(spark):
@@ -219,9 +229,12 @@ def lexicon(spark):
 
 
 def land_topic(spark, sf_dir, name):
-    """Scored articles as JSON lines in a fresh folder: the message log of the stream queries."""
+    """Scored articles as JSON lines in a fresh folder: the message log of the stream queries.
+
+    A message holds its text up to three times (title, summary, body), so the files are compressed.
+    """
     path = work_dir(spark, name)
-    land_json(articles(spark, sf_dir).select(*SCORED_SCHEMA.fieldNames()), path)
+    land_json(articles(spark, sf_dir).select(*SCORED_SCHEMA.fieldNames()), path, compression="snappy")
     return path
 
 

@@ -5,9 +5,9 @@ from pyspark.sql import functions as F
 from newsloom.schemas import RESULT_COLUMNS
 
 
-def land_json(df, path):
+def land_json(df, path, compression=None):
     """Raw articles as JSON lines, replacing what was there."""
-    df.write.mode("overwrite").json(path)
+    df.write.mode("overwrite").json(path, compression=compression)
 
 
 def append_results(df, path, fmt="parquet"):
