@@ -3,12 +3,14 @@
 The score is the published VADER normalisation s / sqrt(s^2 + 15) of the summed valences.
 """
 
+import string
 from dataclasses import dataclass, field
 
 from pyspark.sql import functions as F
 
 ALPHA = 15.0
 PUNCTUATION = r"[!-/:-@\[-`{-~]+"
+MARKS = string.punctuation  # the characters of PUNCTUATION
 
 
 @dataclass(frozen=True)
@@ -32,18 +34,23 @@ class Modifiers:
     decay: tuple = (1.0, 0.95, 0.9)
 
 
-def score_tokens(text):
-    """Lowered whitespace tokens with outer punctuation removed, "" dropped.
+def raw_tokens(text):
+    """Lowered whitespace tokens, with "" where the text begins or ends in whitespace."""
+    return F.split(F.lower(text), r"[ \t\n\f\r]+")
+
 
-    A token that would shrink to two letters or fewer stays as it is (":-)" is a word here).
+def bare(token):
+    """``token`` without outer punctuation.
+
+    One that would shrink to two letters or fewer stays as it is (":-)" is a word here).
     """
+    inner = F.btrim(token, F.lit(MARKS))
+    return F.when(F.length(inner) <= 2, token).otherwise(inner)
 
-    def bare(token):
-        inner = F.regexp_replace(token, f"^{PUNCTUATION}|{PUNCTUATION}$", "")
-        return F.when(F.length(inner) <= 2, token).otherwise(inner)
 
-    tokens = F.split(F.lower(text), r"[ \t\n\f\r]+")
-    return F.filter(F.transform(tokens, bare), lambda token: token != "")
+def score_tokens(text):
+    """Lowered whitespace tokens with outer punctuation removed, "" dropped."""
+    return F.filter(F.transform(raw_tokens(text), bare), lambda token: token != "")
 
 
 def _by_value(pairs):

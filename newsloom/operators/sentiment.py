@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from newsloom.functions.valence import label_of, modified, normalise, words_with_context
+from newsloom.functions.valence import bare, label_of, modified, normalise, raw_tokens, words_with_context
 
 
 def _known(lexicon):
@@ -16,14 +16,15 @@ def _known(lexicon):
 def _totals(df, key, of, text, lexicon, modifiers, kept=None):
     """_key, _of, _total, _copies (and ``kept`` of one of the rows) by key and digest, from the tokens alone."""
     words, known = _known(lexicon)
-    found = words_with_context(text, modifiers)
-    backs = [F.lit(None).cast("string").alias(f"back{i + 1}") for i in range(len(modifiers.decay))] if modifiers else []
-    blank = F.struct(F.lit("").alias("token"), *backs)
-    tokens = F.concat(F.array(blank), F.coalesce(found, F.array().cast(f"array<struct<token:string{''.join(f',back{i + 1}:string' for i in range(len(backs)))}>>")))
-    # only the mark carries what is kept
-    rows = df.select(key.alias("_key"), of.alias("_of"), *([kept.alias("_row")] if kept is not None else []), F.explode(tokens).alias("_t"))
-    mine = [F.when(F.col("_t.token") == "", F.col("_row")).alias("_row")] if kept is not None else []
-    tokens = rows.select("_key", "_of", *mine, "_t.*")
+    if modifiers is None:
+        # tokens become rows before they are trimmed, which Spark then compiles; null stands for the mark. The outer
+        # form spares a test for empty arrays, which there are none of and which would split each text once more
+        raw = F.concat(F.array(F.lit(None).cast("string")), F.coalesce(raw_tokens(text), F.array().cast("array<string>")))
+        rows = df.select(key.alias("_key"), of.alias("_of"), *([kept.alias("_row")] if kept is not None else []), F.explode_outer(raw).alias("_raw"))
+        mine = [F.when(F.col("_raw").isNull(), F.col("_row")).alias("_row")] if kept is not None else []
+        tokens = rows.filter("_raw IS NULL OR _raw <> ''").select("_key", "_of", *mine, F.coalesce(bare(F.col("_raw")), F.lit("")).alias("token"))
+    else:
+        tokens = _context_tokens(df, key, of, text, modifiers, kept)
     value = F.col("valence")
     if modifiers:
         # At most as many rows as there are modifying words.
@@ -34,6 +35,18 @@ def _totals(df, key, of, text, lexicon, modifiers, kept=None):
     return tokens.join(known, "token").groupBy("_key", "_of").agg((F.sum(value) / copies).alias("_total"), copies.alias("_copies"), *first)
 
 
+def _context_tokens(df, key, of, text, modifiers, kept):
+    """_key, _of, (_row,) token and the modifying words before it; each row's mark first."""
+    found = words_with_context(text, modifiers)
+    backs = [F.lit(None).cast("string").alias(f"back{i + 1}") for i in range(len(modifiers.decay))] if modifiers else []
+    blank = F.struct(F.lit("").alias("token"), *backs)
+    tokens = F.concat(F.array(blank), F.coalesce(found, F.array().cast(f"array<struct<token:string{''.join(f',back{i + 1}:string' for i in range(len(backs)))}>>")))
+    # only the mark carries what is kept
+    rows = df.select(key.alias("_key"), of.alias("_of"), *([kept.alias("_row")] if kept is not None else []), F.explode_outer(tokens).alias("_t"))
+    mine = [F.when(F.col("_t.token") == "", F.col("_row")).alias("_row")] if kept is not None else []
+    return rows.select("_key", "_of", *mine, "_t.*")
+
+
 def _score():
     return F.coalesce(normalise(F.col("_total")), F.lit(0.0)).alias("sentiment_score")
 

@@ -256,3 +256,12 @@ def test_training_queries_learn(spark):
     assert np.mean([scored[k] == given[k] for k in given]) > commonest  # four fifths of these rows were trained on
     back = model_queries.model_roundtrip_predictions(spark, sf_dir).collect()
     assert {r.article_id: r.first_label for r in back} == {r.article_id: r.second_label for r in back} and len(back) == len(given)
+
+
+def test_label_index_reads_its_own_copy(spark):
+    from newsloom.plans import model_queries
+
+    for query in (model_queries.label_index, model_queries.label_decode):
+        assert not any("documents.parquet" in name for name in query(spark, "/root/testdata/sf0.001").inputFiles())
+    plan = model_queries._labelled_texts(spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("doc_id#") and len([line for line in plan.splitlines() if "Relation" in line and "n_chars" in line]) == 1
