@@ -55,14 +55,16 @@ def related_title_words(graph, related, stop_words=STOP_WORDS, limit=10):
     """The words whose articles have most distinct related titles, one row per related title.
 
     The lists come as rows, since one list per word would put a common word's titles into one
-    value. Distinct titles are counted in two steps, which a hot word survives.
+    value. Distinct titles are counted in two steps, which a hot word survives, by a digest of
+    128 bits: whole titles are only exchanged for the first words.
     """
     links = related.filter(F.col("title") != F.col("related_title"))
-    pairs = _words(links, stop_words).select("word", "related_title").distinct()
-    counts = pairs.groupBy("word").agg(F.count("*").alias("related_count"))
+    words = links.select("related_title", F.explode(F.array_distinct(title_words(F.col("title"), stop_words))).alias("word"))
+    digest = F.xxhash64("related_title").alias("a"), F.xxhash64(F.lit(1), "related_title").alias("b")
+    counts = words.select("word", *digest).distinct().groupBy("word").agg(F.count("*").alias("related_count"))
     top = counts.orderBy(F.desc("related_count"), "word").limit(limit)
     # At most ``limit`` rows, so this side is always small enough to broadcast.
-    return pairs.join(F.broadcast(top), "word").select("word", "related_count", "related_title")
+    return words.join(F.broadcast(top), "word").select("word", "related_count", "related_title").distinct()
 
 
 def related_pair_profile(graph, related, sep="|"):
