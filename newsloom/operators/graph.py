@@ -53,10 +53,10 @@ def build_graph(df, order_by=()):
     )
 
 
-def _latest(rows):
+def _latest(rows, *held):
     """One node per title: the last by time, then the order columns, then summary."""
     latest = F.max(F.struct("_order", "summary", "publish_time")).alias("latest")
-    return rows.groupBy("title").agg(latest).select("title", "latest.summary", "latest.publish_time", "latest._order")
+    return rows.groupBy(*held, "title").agg(latest).select(*held, "title", "latest.summary", "latest.publish_time", "latest._order")
 
 
 def merge_graphs(old, new):
@@ -130,14 +130,13 @@ def upsert_graph(spark, path, new, buckets, staging):
         # at most ``buckets`` numbers
         touched[name] = sorted(row[0] for row in rows.select("_bucket").distinct().collect())
         old = spark.read.parquet(f"{path}/{name}").filter(F.col("_bucket").isin(touched[name]))
-        both = old.unionByName(rows)
-        if name == "news":
-            merged = _latest(both).withColumn("_bucket", F.pmod(F.xxhash64("title"), F.lit(buckets)).cast("int"))
-        else:
-            merged = both.distinct()
-        merged.repartition("_bucket").write.mode("overwrite").parquet(f"{staging}/{name}")
+        # one exchange, by bucket, does for both the merging and the writing
+        both = old.unionByName(rows).repartition("_bucket")
+        merged = _latest(both, "_bucket") if name == "news" else both.distinct()
+        merged.write.mode("overwrite").parquet(f"{staging}/{name}")
     for name in touched:
-        rows = spark.read.parquet(f"{staging}/{name}").repartition("_bucket")
+        # staged by bucket already, so no exchange is needed
+        rows = spark.read.parquet(f"{staging}/{name}")
         rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("_bucket").parquet(f"{path}/{name}")
     new.rejects.write.mode("append").parquet(f"{path}/rejects")
     return touched

@@ -170,3 +170,36 @@ def test_written_load_rows_follow_the_tables(spark, tmp_path):
     schema = spark.read.parquet(f"{tmp_path}/documents.parquet").schema
     spark.createDataFrame(fewer, schema).write.mode("overwrite").parquet(f"{tmp_path}/documents.parquet")
     assert load_rows(spark, str(tmp_path)).count() == 20 < before.count()
+
+
+def exchanges(df):
+    return df._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning")
+
+
+def test_upsert_merges_a_bucket_in_one_exchange(spark):
+    from newsloom.operators.graph import _latest
+
+    rows = graph_of(spark, [article("A"), article("B")]).news.withColumn("_bucket", F.lit(1)).localCheckpoint()
+    assert exchanges(_latest(rows.repartition("_bucket"), "_bucket")) == 1
+
+
+def test_related_words_count_digests(spark):
+    graph = graph_of(spark, [article("alpha x x"), article("beta y")])
+    words = reports.related_title_words(graph, reports.related_edges(graph))
+    assert "xxhash64" in words._jdf.queryExecution().optimizedPlan().toString()
+    assert sorted((r.word, r.related_count) for r in words.collect()) == [("alpha", 1), ("beta", 1), ("x", 1), ("y", 1)]
+
+
+def test_edges_come_without_summaries(spark):
+    from newsloom.plans.tables import graph
+
+    tables = graph(spark, "/root/testdata/sf0.001")
+    assert "summary" not in spark.read.parquet(*tables.reported_in.inputFiles()).columns
+    assert tables.news.filter("summary = ''").count() == 0 < tables.news.count()
+
+
+def test_topic_is_compressed(spark):
+    from newsloom.plans.tables import land_topic
+
+    files = spark.read.text(land_topic(spark, "/root/testdata/sf0.001", "compressed-topic")).inputFiles()
+    assert files and all(name.endswith(".snappy") for name in files)
