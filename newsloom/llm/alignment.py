@@ -15,6 +15,7 @@ Texts are read and encoded once; what the second step needs is written beside th
 
 import functools
 import hashlib
+import itertools
 
 import numpy as np
 import pyarrow as pa
@@ -26,7 +27,7 @@ from newsloom.llm.work import written
 
 BYTE_LEVEL = "byte_bpe_50k.json"
 PIECES = "piece_bpe_32k.model"
-CHUNK = 2 << 20
+CHUNK = 1 << 20  # bytes of text; a task's arrays take about a hundred times that
 GROUP = 16 << 20  # row groups that a reader decodes at once
 SALT = 4
 PRODUCT = 1 << 20  # pairs made at once; a group of more is one step
@@ -283,7 +284,8 @@ def _finish(same_counts, best):
 
     def run(batches):
         for batch in batches:
-            for row in batch.to_pylist():
+            # row by row: as Python objects a whole batch would be many times its size
+            for row in itertools.chain.from_iterable(batch.slice(i, 1).to_pylist() for i in range(len(batch))):
                 read = lambda name: np.frombuffer(row[name], "<i4").astype(np.int64)
                 n = len(row["doc"])
                 best_sum, count_sum = np.zeros(n, np.int64), np.zeros(n, np.int64)

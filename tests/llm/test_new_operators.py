@@ -4,6 +4,7 @@ import hashlib
 import math
 import random
 import re
+import tracemalloc
 import zlib
 from collections import Counter, defaultdict
 
@@ -161,6 +162,39 @@ def test_universal_minima_estimate_the_similarity():
     assert near_dup.least_matches(128, 80) == math.floor(102.4 - 5 * math.sqrt(128 * 0.16))
 
 
+def peak_mb(run):
+    tracemalloc.start()
+    try:
+        run()
+        return tracemalloc.get_traced_memory()[1] / 1e6
+    finally:
+        tracemalloc.stop()
+
+
+def test_alignment_holds_a_chunk_and_a_row_at_a_time():
+    """What a task takes beside its batch does not follow the batch: one chunk's arrays, then one row's objects."""
+    import pyarrow as pa
+
+    rng = random.Random(3)
+    words = ["".join(rng.choice("abcdeé") for _ in range(rng.randint(1, 9))) for _ in range(5000)]
+    texts = [" ".join(rng.choices(words, k=400)) for _ in range(2000)]
+    batch = pa.RecordBatch.from_pydict({"key": pa.array(range(len(texts))), "text": texts})
+    paths = token_files.tokenizer_path(alignment.BYTE_LEVEL), token_files.tokenizer_path(alignment.PIECES)
+    alignment.Aligned(*paths, ["tables made once"])
+    first = next(alignment.chunks([batch], limit=alignment.CHUNK))[0].column(1).to_pylist()
+    assert batch.nbytes > 4e6 and peak_mb(lambda: alignment.Aligned(*paths, first)) < 200
+
+    n = 40_000
+    flat = lambda x: np.asarray(x, "<i4").tobytes()
+    row = {"doc": [1, 2], **dict.fromkeys(("n_a", "n_b", "n_groups", "n_links"), [1, 1]), "groups": ["", "x"]}
+    row |= {"same": flat([0, 1]), "same_times": flat([1, 1]), "same_firsts": flat([0, 1, 2]), "other": flat(range(n)), "other_times": flat([1] * n)}
+    row |= {"other_firsts": flat([0, n, n]), "pairs": list(range(n)), "told": [5] * n, "wide": n}
+    many = pa.RecordBatch.from_pylist([row] * 30)
+    finish = alignment._finish(np.array([3, 4]), np.array([5, 4]))
+    assert [x.column("n_best").to_pylist() + x.column("count_sum").to_pylist() for x in finish([many])] == [[n, 1, 5 * n + 3, 4]] * 30
+    assert peak_mb(lambda: [None for _ in finish([many])]) < 20
+
+
 def features(text):
     found = WORD.findall(lowered(text))
     return found + [f"{a} {b}" for a, b in zip(found, found[1:])], len(found)
