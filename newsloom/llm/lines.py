@@ -9,7 +9,8 @@ dropped where the same line, or one near it, stands earlier (by key, then place)
 * First lines are cut into segments, one more than their edits: two lines within the edits agree in a
   segment, up to a small shift. Each line enters its segments, under its length, in an index and probes it
   with the substrings that segments of its length or less can have come to.
-* Lines that meet are compared by edit distance in a band of diagonals, all cells of a column in one word.
+* Lines that meet lose all that they share at both ends. What is left of two lines two edits apart is the same but for its ends;
+  where it is, the edit distance is taken in a band of diagonals, all cells of a column in one word.
 """
 
 from pyspark.sql import Window
@@ -115,29 +116,40 @@ def _distance(a, b, n_a, n_b):
     return F.aggregate(F.sequence(F.lit(0), n_b - 1), start, column, lambda state: state["distance"])
 
 
+def _shared(a, b, n, tail):
+    """How many characters the lines share at their beginning (``tail``: end), n at most: the bits of that number, highest first."""
+
+    def grown(found, k):
+        part = lambda x: F.substring(x, (F.length(x) - found - k if tail else found) + 1, k)
+        return F.when((k <= n - found) & (part(a) == part(b)), found + k).otherwise(found)
+
+    return F.aggregate(F.array(*(F.lit(1 << bit) for bit in reversed(range(31)))), F.lit(0), grown)
+
+
 def _trimmed(a, b):
-    """The two lines as a struct, without what they share at both ends, looked for in halves, quarters and so on."""
-
-    def step(part, tail):
-        def strip(both):
-            x, y = both["a"], both["b"]
-            n, m = F.length(x), F.length(y)
-            k = F.floor(n / part).cast("int")
-            if tail:
-                same = F.substring(x, n - k + 1, k) == F.substring(y, m - k + 1, k)
-                less = F.struct(F.substring(x, F.lit(1), n - k).alias("a"), F.substring(y, F.lit(1), m - k).alias("b"))
-            else:
-                same = F.substring(x, F.lit(1), k) == F.substring(y, F.lit(1), k)
-                less = F.struct(F.substring(x, k + 1, n - k).alias("a"), F.substring(y, k + 1, m - k).alias("b"))
-            return F.when((k > 0) & same, less).otherwise(both)
-
-        return strip
-
-    out = F.struct(a.alias("a"), b.alias("b"))
-    for part in (2, 2, 4, 8):
-        for tail in (False, True):
-            out = bound(out, step(part, tail))
-    return out
+    """The two lines as a struct, without all that they share at both ends; b has as many characters as a, or more."""
+
+    def cut(head, tail):
+        inner = lambda x: F.substring(x, head + 1, F.length(x) - head - tail)
+        return F.struct(inner(a).alias("a"), inner(b).alias("b"))
+
+    return bound(_shared(a, b, F.length(a), False), lambda head: bound(_shared(a, b, F.length(a) - head, True), lambda tail: cut(head, tail)))
+
+
+def _edited_at_ends(a, b, n, m):
+    """False only where trimmed lines, of n and m >= n characters, are more than two edits apart.
+
+    Their first characters differ and so do their last, so one edit stands at either end: a character changed, or
+    one more in a or in b. What lies between must be the same.
+    """
+    inner = lambda x, size, left, right: F.substring(x, F.lit(left + 1), size - left - right)
+    same = lambda a_left, a_right, b_left, b_right: inner(a, n, a_left, a_right) == inner(b, m, b_left, b_right)
+    more = m - n
+    return (
+        F.when(more == 0, same(1, 1, 1, 1) | same(0, 1, 1, 0) | same(1, 0, 0, 1))
+        .when(more == 1, same(0, 1, 1, 1) | same(1, 0, 1, 1))
+        .otherwise(same(0, 0, 1, 1))
+    )
 
 
 PIECES = 6
@@ -160,7 +172,10 @@ def _near(a, b):
     def rest(both):
         n, m = F.length(both["a"]), F.length(both["b"])
         # a shared end changes no distance; without characters in one the other's are all inserted
-        return F.when(n == 0, m).otherwise(_distance(F.split(both["a"], ""), F.split(both["b"], ""), n, m))
+        out = F.when(n == 0, m)
+        if EDITS <= 2:
+            out = out.when(~_edited_at_ends(both["a"], both["b"], n, m), EDITS + 1)
+        return out.otherwise(_distance(F.split(both["a"], ""), F.split(both["b"], ""), n, m))
 
     return bound(_trimmed(a, b), rest) <= allowed(F.length(a))
 

@@ -266,6 +266,18 @@ def test_banded_distance_equals_the_whole_table(spark):
     assert 300 < sum(r.near for r in found) < len(found) - 300
 
 
+def test_lines_lose_all_that_they_share_before_their_distance(spark):
+    """What is left starts and ends differently, however long the lines; only lines edited at both ends of it are compared cell by cell."""
+    long = "é" * 70_000
+    pairs = [("abcdefgh", "abXdefgh"), ("aaaa", "aaaaaa"), (long + "x" + long, long + "yy" + long), ("", "ab"), ("1 abc 2", "3 abc 4"), ("1 abc 2", "3 bcd 4")]
+    col = lines.F.col
+    df = spark.createDataFrame(pairs, "a string, b string").withColumn("t", lines._trimmed(col("a"), col("b")))
+    may = lines._edited_at_ends(col("t.a"), col("t.b"), lines.F.length("t.a"), lines.F.length("t.b"))
+    found = [(r.a, r.b, r.may) for r in df.select("t.a", "t.b", may.alias("may")).collect()]
+    assert found[:5] == [("c", "X", True), ("", "aa", True), ("x", "yy", True), ("", "ab", True), ("1 abc 2", "3 abc 4", True)]
+    assert found[5] == ("1 abc 2", "3 bcd 4", False)
+
+
 @pytest.mark.parametrize("edits", [1, 2, 3])
 def test_every_near_pair_meets_in_a_segment(edits):
     """The shifts of the probes reach a segment of any line within the edits."""
