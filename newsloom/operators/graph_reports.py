@@ -355,32 +355,50 @@ def _place_days(graph, exclude_unlocated):
     return located.join(graph.published_on, "title").select("location", "date", "title")
 
 
-def same_place_same_day(graph, exclude_unlocated=False, block_size=2000):
+def same_place_same_day(graph, exclude_unlocated=False, block_size=2000, block_bytes=300_000, part_bytes=400_000):
     """Pairs of titles from one place on one day, each once, the lesser title first.
 
-    The answer itself is the pairs, so its size is quadratic in a group; nothing beyond it is
-    computed. A group larger than ``block_size`` is cut into blocks by title hash and joined
-    block by block, so one task meets at most about ``block_size`` squared pairs of it.
+    The answer itself is the pairs, so its rows are quadratic in a group; nothing beyond it is
+    computed. A group larger than ``block_size`` titles or ``block_bytes`` is cut into blocks by
+    title hash; a cell is what one block's titles have before another's, in order. Cells are dealt
+    by range to parts of about ``part_bytes`` of titles: so few that a column's dictionary holds
+    them (Parquet's is 1 MB), and a pair is written as two short numbers instead of two titles.
     """
+    group = ["location", "date"]
     members = _place_days(graph, exclude_unlocated)
-    sizes = members.groupBy("location", "date").agg(F.ceil(F.count("*") / block_size).cast("int").alias("blocks"))
-    placed = members.join(sizes, ["location", "date"]).withColumn(
+    sizes = members.groupBy(group).agg(
+        F.count("*").alias("n"), F.sum(F.octet_length("title") + 4).alias("bytes")
+    ).select(
+        *group, "bytes",
+        F.greatest(F.ceil(F.col("n") / block_size), F.ceil(F.col("bytes") / block_bytes)).cast("int").alias("blocks"),
+    )
+    # one number: the bytes of titles on the first side of all cells
+    dealt = sizes.agg(F.sum(F.col("bytes") * F.col("blocks"))).first()[0] or 0
+    parts = int(dealt // part_bytes) + 1
+    placed = members.join(sizes.drop("bytes"), group).withColumn(
         "block", F.pmod(F.xxhash64("title"), F.col("blocks")).cast("int")
     )
-    # Blocks i <= j meet once, in cell (i, j): the row is "left" as i and "right" as j.
-    left = placed.select(
-        "location", "date", F.col("title").alias("left_title"), F.col("block").alias("low"),
-        F.explode(F.sequence("block", F.col("blocks") - 1)).alias("high"),
+    # Any two blocks meet twice, once each way; a block meets itself once, from one copy of its titles.
+    others = F.sequence(F.lit(0), F.col("blocks") - 1)
+    firsts = F.transform(others, lambda k: F.struct(F.col("block").alias("low"), k.alias("high"), F.lit(True).alias("first")))
+    seconds = F.transform(
+        F.filter(others, lambda k: k != F.col("block")),
+        lambda k: F.struct(k.alias("low"), F.col("block").alias("high"), F.lit(False).alias("first")),
     )
-    right = placed.select(
-        "location", "date", F.col("title").alias("right_title"), F.col("block").alias("high"),
-        F.explode(F.sequence(F.lit(0), "block")).alias("low"),
+    cell = [*group, "low", "high"]
+    cells = (
+        placed.select(*group, "title", F.inline(F.concat(firsts, seconds)))
+        .repartitionByRange(parts, *cell)
+        .groupBy(cell)
+        .agg(
+            F.sort_array(F.collect_list(F.when(F.col("first"), F.col("title")))).alias("firsts"),
+            F.sort_array(F.collect_list(F.when(~F.col("first") | (F.col("low") == F.col("high")), F.col("title")))).alias("seconds"),
+        )
     )
-    cells = left.join(right, ["location", "date", "low", "high"])
-    pairs = cells.filter((F.col("low") < F.col("high")) | (F.col("left_title") < F.col("right_title")))
+    pairs = cells.withColumn("news1", F.explode("firsts")).withColumn("news2", F.explode("seconds")).filter("news1 < news2")
     return pairs.select(
-        F.least("left_title", "right_title").alias("news1"),
-        F.greatest("left_title", "right_title").alias("news2"),
+        "news1",
+        "news2",
         "location",
         F.year("date").alias("publish_year"),
         F.month("date").alias("publish_month"),

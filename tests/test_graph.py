@@ -87,6 +87,35 @@ def test_pairs_equal_brute_force_for_any_block_size(spark, block_size):
     assert "CartesianProduct" not in plan and "NestedLoop" not in plan
 
 
+@pytest.mark.parametrize(("block_bytes", "part_bytes"), [(8, 2000), (40, 10**6), (10**6, 100)])
+def test_pairs_equal_brute_force_for_any_parts(spark, block_bytes, part_bytes):
+    rng = random.Random(8)
+    rows = [
+        article(f"t{i % 50}" * rng.randrange(1, 3), place="hot" if rng.random() < 0.7 else f"p{rng.randrange(4)}",
+                time=f"2024-01-0{rng.randrange(1, 4)} 10:00:00")
+        for i in range(70)
+    ]
+    places, days = ({(r[0], r[k]) for r in rows} for k in (5, 2))
+    groups = {}
+    for (title, place), (other, when) in itertools.product(places, days):
+        if title == other:
+            groups.setdefault((place, when.day), set()).add(title)
+    pairs = reports.same_place_same_day_hour(graph_of(spark, rows), block_bytes=block_bytes, part_bytes=part_bytes)
+    want = sorted((a, b, p, 2024, 1, d, 0) for (p, d), titles in groups.items() for a, b in itertools.combinations(sorted(titles), 2))
+    assert sorted(map(tuple, pairs.collect())) == want
+
+
+@pytest.mark.parametrize("report", [reports.same_place_same_day, reports.same_place_same_day_hour])
+def test_pairs_are_written_as_numbers_of_titles(spark, tmp_path, report):
+    rng = random.Random(9)
+    titles = [rng.randbytes(700).hex() for _ in range(900)]
+    pairs = report(graph_of(spark, [article(t, place=f"p{i % 3}") for i, t in enumerate(titles)]))
+    pairs.write.parquet(str(tmp_path / "pairs"))
+    assert spark.read.parquet(str(tmp_path / "pairs")).count() == 3 * 300 * 299 // 2
+    # each title a few times in all, where the pairs hold 300 million characters of them
+    assert sum(f.stat().st_size for f in (tmp_path / "pairs").glob("*.parquet")) < 4 * sum(map(len, titles))
+
+
 def test_related_reports(spark):
     graph = graph_of(spark, [article("alpha x"), article("beta y"), article("gamma z", place="Q")])
     related = reports.related_edges(graph)
