@@ -29,16 +29,32 @@ def idf(df, input_col, output_col):
     return IDF(inputCol=input_col, outputCol=output_col).fit(df).transform(df)
 
 
-def fit_features(df, x, y, num_features=1 << 18):
-    """Fit label index, tokens, stop words, hashed term counts and IDF as one pipeline."""
-    stages = [
-        StringIndexer(inputCol=y, outputCol="indexedLabel"),
+def _counting_stages(x, num_features):
+    """From texts to hashed term counts; nothing to fit."""
+    return [
         Tokenizer(inputCol=x, outputCol="words"),
         StopWordsRemover(inputCol="words", outputCol="filtered_words"),
         HashingTF(inputCol="filtered_words", outputCol="raw_features", numFeatures=num_features),
-        IDF(inputCol="raw_features", outputCol="features"),
     ]
-    return Pipeline(stages=stages).fit(df)
+
+
+def fit_features(df, x, y, num_features=1 << 18):
+    """Fit label index, tokens, stop words, hashed term counts and IDF as one pipeline."""
+    label, idf = StringIndexer(inputCol=y, outputCol="indexedLabel"), IDF(inputCol="raw_features", outputCol="features")
+    return Pipeline(stages=[label, *_counting_stages(x, num_features), idf]).fit(df)
+
+
+def fit_written_features(df, x, y, path, num_features=1 << 18):
+    """The model of ``fit_features`` and the rows it gives, without texts and words.
+
+    Texts are split and counted once, into a copy at ``path``; the label index, the IDF and the features come from that.
+    """
+    counting = _counting_stages(x, num_features)
+    PipelineModel(counting).transform(df).drop(x, "words", "filtered_words").write.parquet(path)
+    rows = df.sparkSession.read.parquet(path)
+    label = StringIndexer(inputCol=y, outputCol="indexedLabel").fit(rows)
+    weights = IDF(inputCol="raw_features", outputCol="features").fit(rows)
+    return PipelineModel([label, *counting, weights]), weights.transform(label.transform(rows))
 
 
 def labels_of(feature_model):

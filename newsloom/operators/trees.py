@@ -32,7 +32,7 @@ from newsloom.operators.sparse import Entries, column, entry_columns, entry_rows
 SPLIT_ROWS = 10_000
 HELD = 1 << 21  # sums a task holds before it adds up equal ones
 ROOM = 1 << 22  # numbers that a task looks at in one go
-BLOCK = 1 << 18  # cells of all nodes that splits are sought among in one go
+BLOCK = 1 << 21  # sums of a block, if all were there
 
 
 def thresholds_of(values, counts, total, bins):
@@ -578,7 +578,7 @@ def grow_cut(rows, cells_sent, settings, depth, folds=0, trees=1, subset=0, samp
             wanted[own[own >= 0]] |= np.arange(several) != left_out
         totals[~wanted] = 0
         share = subset / len(cells.count) if subset else 1
-        blocks = min(max(32, int(len(cells.slot) * len(totals) * share) // BLOCK), 4096)
+        blocks = max(32, int(len(cells.slot) * totals.size * share) // BLOCK)
         edges = np.unique(used[np.searchsorted(used, np.linspace(0, len(cells.slot), blocks, endpoint=False), "right") - 1])
         plan = _Plan(level, models, grown, shared, totals, subset, labels, several, seed, sampled, edges)
         split = _grow_level(rows, plan, cells_sent)

@@ -265,3 +265,69 @@ def test_label_index_reads_its_own_copy(spark):
         assert not any("documents.parquet" in name for name in query(spark, "/root/testdata/sf0.001").inputFiles())
     plan = model_queries._labelled_texts(spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("doc_id#") and len([line for line in plan.splitlines() if "Relation" in line and "n_chars" in line]) == 1
+
+
+def test_rows_of_least_digest_come_without_a_sort_of_all_rows(spark):
+    rng = random.Random(1)
+    digests = [rng.randrange(-(1 << 63), 1 << 63) for _ in range(500)]
+    df = spark.createDataFrame([(d,) for d in digests], "digest long").repartition(4)
+    least, total = trees.least_digests(df, 60)
+    assert total == 60 and sorted(r.digest for r in least.collect()) == sorted(digests)[:60]
+    plan = least._jdf.queryExecution().optimizedPlan().toString()
+    assert "Sort" not in plan and "Limit" not in plan
+    assert trees.least_digests(df, 501)[1] == 500 and trees.least_digests(df, 501)[0].count() == 500
+    equal = spark.createDataFrame([(7,)] * 30 + [(d,) for d in range(20, 30)], "digest long")  # a key that repeats
+    least, total = trees.least_digests(equal, 10)
+    assert total == 10 and [r.digest for r in least.collect()] == [7] * 10
+
+
+def test_nodes_of_the_same_splits_are_added_up_once(spark, monkeypatch):
+    rng, grow_level, numbers = random.Random(5), trees._grow_level, []
+
+    def watched(rows, plan, cells):
+        numbers.append((len(plan.models), len(plan.totals)))
+        return grow_level(rows, plan, cells)
+
+    monkeypatch.setattr(trees, "_grow_level", watched)
+    data = []
+    for i in range(300):  # the slots 0 and 1 tell the label; 2 to 5 tell nothing
+        label = rng.choice([0, 0, 0, 1, 2])
+        values = {0: 1.0} if label == 0 else {1: 2.0} if label == 1 else {}
+        data.append((i, float(label), Vectors.sparse(6, values | {rng.randrange(2, 6): 1.0})))
+    df = spark.createDataFrame(data, ["link", "indexedLabel", "features"])
+    rows = tree_rows(df.withColumns({"_fold": (F.col("link") % 3).cast("int"), "_row": F.xxhash64("link")}))
+    grown = trees.grow(rows, 6, trees.find_bins(rows, 6, [8, 16]), 3, folds=3)
+    assert numbers == [(8, 1), (8, 1)]  # eight models, one node to add up on each of two levels
+    for fold in (-1, 0, 1, 2):
+        want = Counter(int(label) for i, label, _ in data if i % 3 != fold)
+        assert grown[0, fold][0].counts[1].tolist() == grown[1, fold][0].counts[1].tolist() == [want[k] for k in range(3)]
+        leaves = {tuple(c) for k, c in enumerate(grown[0, fold][0].counts.tolist()) if k and sum(c) and grown[0, fold][0].slot[k] < 0}
+        assert leaves == {tuple(want[k] if k == j else 0 for k in range(3)) for j in range(3)}
+
+
+def test_forests_of_folds_are_those_of_the_other_rows(noisy, monkeypatch):
+    for name in ("HELD", "ROOM", "BLOCK"):
+        monkeypatch.setattr(trees, name, 100)  # many parts and blocks
+    rows = tree_rows(noisy)
+    bins = trees.find_bins(rows, 12, [4, 16])
+    given = {"trees": 3, "subset": 5, "sampled": True}
+    both = trees.grow(rows, 12, bins, 3, folds=3, **given)
+    for fold in range(3):
+        alone = trees.grow(rows.filter(F.col("fold") != fold), 12, bins[:1], 3, **given)[0, -1]
+        assert [tree.to_list() for tree in alone] == [tree.to_list() for tree in both[0, fold]]
+
+
+def test_written_features_equal_the_pipelines(spark, rows, fitted_features, tmp_path):
+    model, written = features.fit_written_features(rows, "summary", "sentiment", str(tmp_path / "counts"), 64)
+    columns = ["link", "indexedLabel", "raw_features", "features"]
+    want = {r.link: r for r in fitted_features.transform(rows).select(columns).collect()}
+    assert {r.link: r for r in written.select(columns).collect()} == want
+    assert {r.link: r for r in model.transform(rows).select(columns).collect()} == want
+    assert all(name.startswith(f"file://{tmp_path}/counts") for name in written.inputFiles())
+    assert "summary" not in written.columns  # no text is split again
+
+
+def test_training_rows_split_texts_once(spark):
+    _, rows = model_queries._training_rows(spark, "/root/testdata/sf0.001")
+    assert not {"summary", "words", "filtered_words"} & set(rows.columns)
+    assert rows.count() == model_queries.sentiment_label(spark, "/root/testdata/sf0.001").count()
